@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumbline.functions.casts import DECIMAL_TEXT, INTEGER_TEXT, SPECIAL_NUMBER_TEXT, strip
+from plumbline.functions.casts import DECIMAL_TEXT, INTEGER_TEXT, SPECIAL_NUMBER_TEXT
 
 BOOLEAN, INTEGER, DECIMAL, TIMESTAMP, DATE, TEXT = 1, 2, 4, 8, 16, 32
 
@@ -31,35 +31,32 @@ COMPATIBLE = {
 }
 
 
-def kind_bit(column: Column) -> Column:
+def kind_bit(column: str) -> Column:
     """The kind of one value as a bit, 0 for a null or empty value."""
-    text = strip(column.cast("string"))
-    return (
-        F.when(column.isNull() | (column.cast("string") == ""), 0)
-        .when(F.lower(text).isin("true", "false"), BOOLEAN)
-        .when(text.rlike(INTEGER_TEXT), INTEGER)
-        .when(text.rlike(DECIMAL_TEXT) | text.rlike(SPECIAL_NUMBER_TEXT), DECIMAL)
-        .when(text.rlike(TIMESTAMP_TEXT) & text.try_cast("timestamp_ntz").isNotNull(), TIMESTAMP)
-        .when(text.rlike(DATE_TEXT) & text.try_cast("date").isNotNull(), DATE)
-        .otherwise(TEXT)
-    )
+    text = f"btrim(cast(`{column}` as string), ' \\t\\n\\r')"
+    return F.expr(f"""
+        case when `{column}` is null or cast(`{column}` as string) = '' then 0
+             when lower({text}) in ('true', 'false') then {BOOLEAN}
+             when {text} rlike r'{INTEGER_TEXT}' then {INTEGER}
+             when {text} rlike r'{DECIMAL_TEXT}' or {text} rlike r'{SPECIAL_NUMBER_TEXT}' then {DECIMAL}
+             when {text} rlike r'{TIMESTAMP_TEXT}' and try_cast({text} as timestamp_ntz) is not null
+                  then {TIMESTAMP}
+             when {text} rlike r'{DATE_TEXT}' and try_cast({text} as date) is not null then {DATE}
+             else {TEXT} end""")
 
 
-def merged_type(bits: Column, date_as_timestamp: bool = False) -> Column:
-    """Name of the column type for a set of kinds.
+def merged_type(bits: str, date_as_timestamp: bool = False) -> Column:
+    """Name of the column type for a set of kinds, given the column that holds the set.
 
     Dates and timestamps mixed give a timestamp. With ``date_as_timestamp`` a column of
     dates alone does too, which makes date contracts fail.
     """
-    def only(mask: int) -> Column:
-        return bits.bitwiseAND(~mask) == 0
-
-    return (
-        F.when(bits == 0, "string")
-        .when(bits == INTEGER, "integer")
-        .when(only(INTEGER | DECIMAL), "decimal")
-        .when((bits == DATE) & F.lit(not date_as_timestamp), "date")
-        .when(only(DATE | TIMESTAMP), "timestamp")
-        .when(bits == BOOLEAN, "boolean")
-        .otherwise("string")
-    )
+    dates = "timestamp" if date_as_timestamp else "date"
+    return F.expr(f"""
+        case when coalesce(`{bits}`, 0) = 0 then 'string'
+             when `{bits}` = {INTEGER} then 'integer'
+             when `{bits}` & ~{INTEGER | DECIMAL} = 0 then 'decimal'
+             when `{bits}` = {DATE} then '{dates}'
+             when `{bits}` & ~{DATE | TIMESTAMP} = 0 then 'timestamp'
+             when `{bits}` = {BOOLEAN} then 'boolean'
+             else 'string' end""")

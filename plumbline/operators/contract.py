@@ -79,7 +79,7 @@ def contract_reports(
         aggregates.append(count_when(blank).alias(f"__null_{column}"))
     for column in spec.schema:
         if column in columns:
-            aggregates.append(F.bit_or(kind_bit(F.col(column))).alias(f"__kind_{column}"))
+            aggregates.append(F.bit_or(kind_bit(column)).alias(f"__kind_{column}"))
     facts = rows.groupBy(*by).agg(*aggregates)
 
     facts = facts.withColumn("__one", F.lit(1))
@@ -130,7 +130,7 @@ def contract_reports(
                      F.lit(f" exceeded contract threshold {limit}")), "null", hard and needed))
     for column, wanted in spec.schema.items():
         if column in columns:
-            seen = merged_type(F.col(f"__kind_{column}"), date_as_timestamp)
+            seen = merged_type(f"__kind_{column}", date_as_timestamp)
             found.append(_violation(
                 f"type_validation_{column}", "critical", ~seen.isin(*sorted(COMPATIBLE[wanted])),
                 seen, wanted,

@@ -28,13 +28,13 @@ def infer_schema(
     aggregates = []
     for column in columns:
         quoted = F.col(f"`{column}`")
-        aggregates.append(F.bit_or(kind_bit(quoted)).alias(f"__k_{column}"))
+        aggregates.append(F.bit_or(kind_bit(column)).alias(f"__k_{column}"))
         aggregates.append(count_when(is_blank(quoted)).alias(f"__b_{column}"))
     facts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
     fields = F.array(*[
         F.struct(
             F.lit(column).alias("column_name"),
-            merged_type(F.coalesce(F.col(f"`__k_{column}`"), F.lit(0)), date_as_timestamp).alias("data_type"),
+            merged_type(f"__k_{column}", date_as_timestamp).alias("data_type"),
             (F.col(f"`__b_{column}`") > 0).alias("nullable"),
             (F.col(f"`__b_{column}`") < F.col("__rows")).alias("filled"),
         )

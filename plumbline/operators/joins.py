@@ -19,17 +19,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str =
 def text_windows(text: Column, lengths: list[int]) -> Column:
     """All substrings of ``text`` that have one of ``lengths``, each once."""
     empty = F.array().cast("array<string>")
-    pieces = [
-        F.when(
-            F.length(text) >= size,
-            F.transform(
-                F.sequence(F.lit(1), F.length(text) - F.lit(size - 1)),
-                lambda start, size=size: F.substring(text, start, F.lit(size)),
-            ),
-        ).otherwise(empty)
-        for size in lengths
-    ]
-    return F.array_distinct(F.concat(*pieces)) if pieces else empty
+
+    def windows(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - F.lit(size - 1))
+        cut = F.transform(starts, lambda start: F.substring(text, start, F.lit(size)))
+        return F.when(F.length(text) >= size, cut).otherwise(empty)
+
+    return F.array_distinct(F.concat(*[windows(size) for size in lengths])) if lengths else empty
 
 
 def name_lengths(names: DataFrame, column: str) -> list[int]:

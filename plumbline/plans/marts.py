@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.casts import MONEY, count_when, ratio, sum_when
 
-COMPLETED = F.col("status") == "completed"
+
+def completed() -> Column:
+    return F.col("status") == "completed"
 
 
 def _amount() -> Column:
@@ -29,7 +31,7 @@ def fact_orders(orders: DataFrame) -> DataFrame:
     return orders.select(
         "transaction_id", "customer_id", "product_id", "campaign_id", "order_ts",
         F.to_date("order_ts").alias("order_date"), "status", "quantity", "amount",
-        F.when(COMPLETED, F.col("amount")).otherwise(F.lit(0)).alias("completed_revenue"),
+        F.when(completed(), F.col("amount")).otherwise(F.lit(0)).alias("completed_revenue"),
     )
 
 
@@ -52,8 +54,8 @@ def dim_product(products: DataFrame) -> DataFrame:
 
 def revenue_by_day(orders: DataFrame) -> DataFrame:
     return orders.groupBy(F.to_date("order_ts").alias("order_date")).agg(
-        count_when(COMPLETED).alias("completed_orders"),
-        sum_when(COMPLETED, _amount()).alias("gross_revenue"),
+        count_when(completed()).alias("completed_orders"),
+        sum_when(completed(), _amount()).alias("gross_revenue"),
         count_when(F.col("status") == "refunded").alias("refund_count"),
         count_when(F.col("status") == "failed").alias("failed_orders"),
     )
@@ -90,7 +92,7 @@ def customer_activity(orders: DataFrame, events: DataFrame, tickets: DataFrame)
     sides = [
         orders.select(
             "customer_id", F.lit(1).alias("o"), F.lit(0).alias("e"), F.lit(0).alias("t"),
-            F.when(COMPLETED, _amount()).otherwise(none.cast(MONEY)).alias("revenue"),
+            F.when(completed(), _amount()).otherwise(none.cast(MONEY)).alias("revenue"),
             F.when(F.col("status") == "refunded", 1).otherwise(0).alias("refund"),
             F.col("order_ts"),
         ),
@@ -119,7 +121,7 @@ def customer_activity_joined(orders: DataFrame, events: DataFrame, tickets: Data
     known = F.col("customer_id").isNotNull()
     bought = orders.where(known).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("order_count"),
-        sum_when(COMPLETED, _amount()).alias("gross_revenue"),
+        sum_when(completed(), _amount()).alias("gross_revenue"),
         count_when(F.col("status") == "refunded").alias("refund_count"),
         F.max("order_ts").alias("last_order_ts"),
     )
@@ -156,7 +158,7 @@ def marketing_attribution(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     multiplies its orders, as the plain join would.
     """
     sold = orders.groupBy("campaign_id").agg(
-        count_when(COMPLETED).alias("n"), sum_when(COMPLETED, _amount()).alias("revenue"))
+        count_when(completed()).alias("n"), sum_when(completed(), _amount()).alias("revenue"))
     listed = campaigns.where(F.col("campaign_id").isNotNull()).groupBy("campaign_id", "channel").agg(
         F.max("spend").alias("spend"), F.count(F.lit(1)).alias("listings"))
     times = F.coalesce(F.col("listings"), F.lit(1))
@@ -186,9 +188,9 @@ def gold_marketing_attribution(orders: DataFrame, campaigns: DataFrame) -> DataF
 
 def _product_totals(orders: DataFrame) -> DataFrame:
     return orders.groupBy("product_id").agg(
-        count_when(COMPLETED).alias("order_count"),
-        sum_when(COMPLETED, F.col("quantity")).alias("units_sold"),
-        sum_when(COMPLETED, _amount()).alias("gross_revenue"),
+        count_when(completed()).alias("order_count"),
+        sum_when(completed(), F.col("quantity")).alias("units_sold"),
+        sum_when(completed(), _amount()).alias("gross_revenue"),
     )
 
 
@@ -280,8 +282,8 @@ def revenue_daily_job(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy(F.to_date(F.col("order_ts").try_cast("timestamp_ntz")).alias("order_date"))
         .agg(
-            count_when(COMPLETED).alias("completed_orders"),
-            F.sum(F.when(COMPLETED, amount).otherwise(0.0)).alias("gross_revenue"),
+            count_when(completed()).alias("completed_orders"),
+            F.sum(F.when(completed(), amount).otherwise(0.0)).alias("gross_revenue"),
             count_when(F.col("status") == "refunded").alias("refund_count"),
             count_when(F.col("status") == "failed").alias("failed_orders"),
         )

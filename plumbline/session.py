@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # without the call-site capture per column expression, wide plans build several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
