@@ -22,8 +22,8 @@ def ready_rows(spark, sf):
     return observe.readiness(view(spark, sf, "run_states"))
 
 
-def volume_rows(spark, sf):
-    history = view(spark, sf, "run_states").select("run_id", "dataset_name", "evaluated_at", "row_count")
+def volume_rows(ready):
+    history = ready.select("run_id", "dataset_name", "evaluated_at", "row_count")
     return observe.row_count_anomalies(history, ["evaluated_at"])
 
 
@@ -32,17 +32,27 @@ def lineage_rows(spark, sf):
         "run_id", "job_name", F.array("in_1", "in_2").alias("inputs"), F.array("out_1").alias("outputs"))
 
 
-def trust_rows(spark, sf):
-    ready = ready_rows(spark, sf)
+def edge_rows(spark, sf):
+    return governance.lineage_edges(lineage_rows(spark, sf))
+
+
+def trust_rows(spark, sf, ready=None, edges=None):
+    """Trust of all runs. Readiness is written out once: it has one row per run and mart and
+    feeds the scores, the objectives, the volume check and the alert match."""
+    ready = ready if ready is not None else cut_lineage(ready_rows(spark, sf))
+    edges = edges if edges is not None else edge_rows(spark, sf)
     return observe.dataset_trust(
-        ready, observe.gold_slos(ready), volume_rows(spark, sf), governance.catalog_table(spark),
-        observe.lineage_members(governance.lineage_edges(lineage_rows(spark, sf))), view(spark, sf, "alerts"))
+        ready, observe.gold_slos(ready), volume_rows(ready), governance.catalog_table(spark),
+        observe.lineage_members(edges), view(spark, sf, "alerts"))
 
 
 def run_rows(spark, sf):
+    return run_states_of(view(spark, sf, "run_states"))
+
+
+def run_states_of(states):
     both = (F.col("quality_status") == "failed") & (F.col("freshness_status") == "failed")
-    totals = view(spark, sf, "run_states").groupBy("run_id").agg(
-        F.count_if(both).alias("failed"), F.sum("row_count").alias("total"))
+    totals = states.groupBy("run_id").agg(F.count_if(both).alias("failed"), F.sum("row_count").alias("total"))
     return totals.select(
         "run_id", F.when(F.col("failed") > 0, "failed").otherwise("passed").alias("semantic_status"),
         F.when(F.col("total") % 2 == 0, "passed").otherwise("failed").alias("reconciliation_status"),
@@ -50,22 +60,32 @@ def run_rows(spark, sf):
         (F.col("total") / 5.0).alias("duration_seconds"))
 
 
-def finding_rows(spark, sf, trust=None):
-    ready = ready_rows(spark, sf)
-    return gates.certification_findings(
-        run_rows(spark, sf), ready, observe.gold_slos(ready), trust if trust is not None else trust_rows(spark, sf),
-        view(spark, sf, "alerts"))
+class Control:
+    """Control tables of all runs, each written once and then read by every later step."""
+
+    def __init__(self, spark, sf):
+        self.ready = cut_lineage(ready_rows(spark, sf))
+        self.slos = observe.gold_slos(self.ready)
+        self.alerts = view(spark, sf, "alerts")
+        self.edges = cut_lineage(edge_rows(spark, sf))
+        self.trust = cut_lineage(trust_rows(spark, sf, self.ready, self.edges))
+        self.runs = run_states_of(self.ready)
+        self.findings = gates.certification_findings(self.runs, self.ready, self.slos, self.trust, self.alerts)
+        self.certified = cut_lineage(gates.certify(self.runs, self.findings))
+        self.facts = gates.run_facts(
+            self.runs, self.ready, self.slos, self.alerts, self.trust, self.edges, self.certified)
+        self.gates = gates.gate_rows(self.facts)
 
 
 def gate_table(spark, sf):
-    """Gates of all runs; trust is written out once because two branches read it."""
-    ready, runs, alerts = ready_rows(spark, sf), run_rows(spark, sf), view(spark, sf, "alerts")
-    trust = cut_lineage(trust_rows(spark, sf))
-    certified = gates.certify(runs, finding_rows(spark, sf, trust))
-    facts = gates.run_facts(
-        runs, ready, observe.gold_slos(ready), alerts, trust,
-        governance.lineage_edges(lineage_rows(spark, sf)), certified)
-    return gates.gate_rows(facts)
+    return Control(spark, sf).gates
+
+
+def finding_rows(spark, sf):
+    ready = cut_lineage(ready_rows(spark, sf))
+    return gates.certification_findings(
+        run_states_of(ready), ready, observe.gold_slos(ready), cut_lineage(trust_rows(spark, sf, ready)),
+        view(spark, sf, "alerts"))
 
 
 # -- readiness, volume, SLO, trust ----------------------------------------------------------
@@ -146,7 +166,7 @@ def worst_open_alerts(spark, sf):
 @query("OBS-6 JN-13", """select r.run_id, r.dataset_name from readiness r
     where (r.run_id, r.dataset_name) in (select (run_id, dataset_name) from lineage_members)""")
 def datasets_in_lineage(spark, sf):
-    members = observe.lineage_members(governance.lineage_edges(lineage_rows(spark, sf)))
+    members = observe.lineage_members(edge_rows(spark, sf))
     return ready_rows(spark, sf).join(members, ON, "left_semi").select(*ON)
 
 
@@ -163,13 +183,9 @@ def datasets_in_lineage(spark, sf):
     join release l using (run_id)
     join (select run_id, case when count(*) filter (where status = 'blocked') > 0 then 'blocked' else 'passed' end as st from certified group by 1) c using (run_id)""")
 def platform_scorecard(spark, sf):
-    ready, runs, alerts = ready_rows(spark, sf), run_rows(spark, sf), view(spark, sf, "alerts")
-    slos, trust = observe.gold_slos(ready), cut_lineage(trust_rows(spark, sf))
-    certified = gates.certify(runs, finding_rows(spark, sf, trust))
-    facts = gates.run_facts(runs, ready, slos, alerts, trust,
-                            governance.lineage_edges(lineage_rows(spark, sf)), certified)
-    release = gates.release_status(gates.gate_rows(facts)).select("run_id", "release_status")
-    joined = facts.join(observe.mean_scores(ready, trust), "run_id").join(release, "run_id")
+    control = Control(spark, sf)
+    release = gates.release_status(control.gates).select("run_id", "release_status")
+    joined = control.facts.join(observe.mean_scores(control.ready, control.trust), "run_id").join(release, "run_id")
     return observe.platform_scorecard(joined).select("run_id", "trust_score")
 
 
@@ -183,11 +199,11 @@ def platform_scorecard(spark, sf):
       union all select run_id, 'rejected_records', 'high', source_system from (
         select run_id, source_system, sum(rejected_count) as n from load_log group by 1, 2) where n > 0)""")
 def derived_alerts(spark, sf):
-    ready = ready_rows(spark, sf)
+    ready = cut_lineage(ready_rows(spark, sf))
     rejects = view(spark, sf, "load_log").groupBy("run_id", F.col("source_system").alias("dataset_name")).agg(
         F.sum("rejected_count").alias("rejected_count"))
     return alerting.derive_alerts(
-        AS_OF, rejects=rejects, summary=ready, anomalies=volume_rows(spark, sf), ready=ready,
+        AS_OF, rejects=rejects, summary=ready, anomalies=volume_rows(ready), ready=ready,
     ).select("run_id", "alert_type", "severity", "dataset_name")
 
 
@@ -274,7 +290,7 @@ def certification_findings(spark, sf):
 
 @query("OBS-12", "select * from certified")
 def product_certification(spark, sf):
-    return gates.certify(run_rows(spark, sf), finding_rows(spark, sf)).select(
+    return Control(spark, sf).certified.select(
         "run_id", "product", "blocker_count", "warning_count", "status")
 
 
@@ -302,17 +318,18 @@ def remediation_gate_tasks(spark, sf):
 
 
 def _plan(spark, sf):
-    table_of_gates = cut_lineage(gate_table(spark, sf))
+    control = Control(spark, sf)
+    table_of_gates = cut_lineage(control.gates)
     register = gates.exception_table(spark, EXCEPTION_ROWS)
     applied = gates.apply_exceptions(table_of_gates, register, AS_OF)
-    return gates.remediation_plan(table_of_gates, applied, finding_rows(spark, sf), "2024-02-01 00:00:00")
+    return gates.remediation_plan(table_of_gates, applied, control.findings, "2024-02-01 00:00:00")
 
 
 # -- lineage, catalog, coverage, storage ----------------------------------------------------
 
 @query("OBS-14 SET-3", "select * from lineage_edges")
 def lineage_edges(spark, sf):
-    return governance.lineage_edges(lineage_rows(spark, sf))
+    return edge_rows(spark, sf)
 
 
 @query("OBS-14", """select e.run_id, n.node_count, e.edge_count from (select run_id, count(*) as edge_count from lineage_edges group by 1) e
@@ -471,10 +488,10 @@ def metrics_by_channel(spark, sf):
       + (case when count(*) filter (where status not in ('completed', 'refunded', 'failed', 'pending')) > 0 then 1 else 0 end) as failed from silver_orders)"""))
 def bi_measures(spark, sf):
     name = "silver_ecommerce_transactions"
-    ready = ready_rows(spark, sf)
+    control = Control(spark, sf)
     return metrics.bi_measures(
-        trust_rows(spark, sf), ready, checks.validate(orders(spark, sf), name, QUALITY_SUITES[name]),
-        ready.select(F.col("schema_status").alias("status")), view(spark, sf, "alerts"), gate_table(spark, sf))
+        control.trust, control.ready, checks.validate(orders(spark, sf), name, QUALITY_SUITES[name]),
+        control.ready.select(F.col("schema_status").alias("status")), control.alerts, control.gates)
 
 
 @query("AGG-19 FLT-8", """
@@ -491,13 +508,14 @@ def bi_measures(spark, sf):
 def quality_dashboard(spark, sf):
     from plumbline.catalog.sources import rejected_orders
 
-    summary = ready_rows(spark, sf).withColumns({
+    ready = ready_rows(spark, sf)
+    summary = ready.withColumns({
         "check_count": F.lit(4), "failed_check_count": F.when(F.col("quality_status") == "failed", 1).otherwise(0)})
     kind = F.when(F.col("alert_type").startswith("click"), "NULL_rate_x").when(
         F.col("alert_type").startswith("view"), "unique_x").otherwise("other")
     results = view(spark, sf, "alerts").select(
         kind.alias("check_name"), F.when(F.col("severity") == "critical", "failed").otherwise("passed").alias("status"))
-    return metrics.quality_rollup(summary, results, rejected_orders(spark, sf), volume_rows(spark, sf))
+    return metrics.quality_rollup(summary, results, rejected_orders(spark, sf), volume_rows(ready))
 
 
 @query("AGG-19", """
@@ -520,8 +538,8 @@ def alert_dashboard(spark, sf):
     union all select 'quality_pass_rate', count(*) filter (where quality_status = 'passed') / count(*) from readiness
     union all select 'open_alerts', cast(count(*) as double) from alerts where resolution_status = 'open'""")
 def health_dashboard(spark, sf):
-    ready = ready_rows(spark, sf)
-    return metrics.health_rollup(ready, trust_rows(spark, sf), ready, view(spark, sf, "alerts"))
+    ready = cut_lineage(ready_rows(spark, sf))
+    return metrics.health_rollup(ready, trust_rows(spark, sf, ready), ready, view(spark, sf, "alerts"))
 
 
 @query("AGG-19 Q-3", """
@@ -562,7 +580,8 @@ def rule_types(spark, sf):
 @query("JN-7", """select r.run_id, r.dataset_name, r.readiness_score, t.trust_score_overall, t.trust_score_band
     from readiness r left join trust t using (run_id, dataset_name)""")
 def readiness_with_trust(spark, sf):
-    return metrics.readiness_with_trust(ready_rows(spark, sf), trust_rows(spark, sf), ON).select(
+    ready = cut_lineage(ready_rows(spark, sf))
+    return metrics.readiness_with_trust(ready, trust_rows(spark, sf, ready), ON).select(
         *ON, "readiness_score", "trust_score_overall", "trust_score_band")
 
 
@@ -578,8 +597,9 @@ def _newest(df, *columns):
     left join (select * from readiness where run_id = (select max(run_id) from readiness)) r using (dataset_name)""")
 def mart_summary(spark, sf):
     counts = view(spark, sf, "run_states").groupBy("dataset_name").agg(F.count(F.lit(1)).alias("row_count"))
-    trust = _newest(trust_rows(spark, sf), "trust_score_overall", "trust_score_band")
-    ready = _newest(ready_rows(spark, sf), "readiness_status", "quality_status", "freshness_status", "schema_status")
+    rows = cut_lineage(ready_rows(spark, sf))
+    trust = _newest(trust_rows(spark, sf, rows), "trust_score_overall", "trust_score_band")
+    ready = _newest(rows, "readiness_status", "quality_status", "freshness_status", "schema_status")
     return metrics.mart_summary(counts, trust, ready)
 
 
@@ -592,8 +612,9 @@ def mart_summary(spark, sf):
     left join (select * from readiness where run_id = (select max(run_id) from readiness)) r on r.dataset_name = m.dataset_name""")
 def mart_inventory(spark, sf):
     counts = view(spark, sf, "run_states").groupBy("dataset_name").agg(F.count(F.lit(1)).alias("row_count"))
-    ready = _newest(ready_rows(spark, sf), "readiness_status")
-    trust = _newest(trust_rows(spark, sf), "trust_score_overall")
+    rows = cut_lineage(ready_rows(spark, sf))
+    ready = _newest(rows, "readiness_status")
+    trust = _newest(trust_rows(spark, sf, rows), "trust_score_overall")
     return metrics.mart_inventory(counts, governance.catalog_table(spark), ready, trust).select(
         "dataset_name", "row_count", "owner", "bi_readiness_status", "artifact_status")
 

@@ -5,18 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import cut_lineage
+
 REASON = "_reject_reason"
 
+# A list of repeated keys up to this size, as measured, is broadcast.
+BROADCAST_BYTES = 32 << 20
+
 
 def reject_duplicates(
-    df: DataFrame, key: str, order: list[str], prior: Column | None = None
+    df: DataFrame, key: str, order: list[str], prior: Column | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Adds ``_reject_reason``: NULL for the first row of each key in ``order``, else why not.
 
     ``order`` has to be unique per row (file and position). Rows with a ``prior`` reason are
-    out of the race for their key. The first position per key is a partial aggregate, and the
-    rows meet it on key *and* position: a key that repeats in a third of all rows is thinned
-    before its shuffle and spread over all tasks after it. No window over the key is needed.
+    out of the race for their key.
+
+    Only keys that repeat matter, so they are found first, by a key-only partial aggregate
+    that thins a hot key in the map tasks, and written out. If that list is measured to be
+    small it is broadcast and the rows are not shuffled at all. Otherwise rows meet the first
+    position of their key on key *and* position, which spreads a hot key over all tasks.
+    Neither way puts the rows of one key into one task, as a window over the key would.
     """
     name = F.btrim(F.col(key).cast("string"))
     blank = name.isNull() | (name == "")
@@ -25,23 +35,32 @@ def reject_duplicates(
         reason = F.coalesce(prior, reason)
     marked = df.withColumn(REASON, reason).withColumn("__key", F.when(F.col(REASON).isNull(), name))
     racing = marked.where(F.col("__key").isNotNull()).select(F.col("__key").alias("__k"), *order)
-    if len(order) == 1:
-        firsts = racing.groupBy("__k").agg(F.min(order[0]).alias("__f0"))
-    else:
-        firsts = (
-            racing.groupBy("__k").agg(F.min(F.struct(*order)).alias("__first"))
-            .select("__k", *[F.col(f"__first.{c}").alias(f"__f{i}") for i, c in enumerate(order)])
-        )
+
+    first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
+    per_key = racing.groupBy("__k").agg(first.alias("__first"), F.count(F.lit(1)).alias("__n"))
+    repeated = cut_lineage(per_key.where("__n > 1").drop("__n"))
+    width = 64 + 32 * len(order)
+    size = repeated.agg(F.coalesce(F.sum(F.octet_length("__k") + width), F.lit(0)).alias("b")).first().b
+    duplicate = F.lit(f"duplicate primary key {key}")
+    if size <= broadcast_bytes:
+        place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+        late = F.col("__k").isNotNull() & ~place.eqNullSafe(F.col("__first"))
+        joined = marked.join(F.broadcast(repeated), F.col("__key") == F.col("__k"), "left")
+        return joined.withColumn(
+            REASON, F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(late, duplicate)
+        ).drop("__key", "__k", "__first")
+
+    parts = (
+        [F.col("__first").alias("__f0")] if len(order) == 1
+        else [F.col(f"__first.{c}").alias(f"__f{i}") for i, c in enumerate(order)])
+    firsts = per_key.select("__k", *parts)
     condition = F.col("__key") == F.col("__k")
     for i, column in enumerate(order):
         condition = condition & F.col(column).eqNullSafe(F.col(f"__f{i}"))
     return (
         marked.join(firsts, condition, "left")
         .withColumn(
-            REASON,
-            F.when(F.col(REASON).isNotNull(), F.col(REASON))
-            .when(F.col("__k").isNull(), F.lit(f"duplicate primary key {key}")),
-        )
+            REASON, F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(F.col("__k").isNull(), duplicate))
         .drop("__key", "__k", *[f"__f{i}" for i in range(len(order))])
     )
 

@@ -17,21 +17,18 @@ from plumbline.session import cut_lineage
 BLOCK_ROWS = 100_000
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def with_position(
     df: DataFrame, keys: list[str], order: list[str], name: str = "_n", partitions: int | None = None
 ) -> DataFrame:
     """1-based position of each row within its key. ``order`` should be unique per key.
 
     The range-partitioned rows are checkpointed once: range borders come from a sample, and
-    both uses below must see the same borders, also after a task is retried.
+    both uses below must see the same borders, also after a task is retried. Without a number
+    of ``partitions`` AQE merges small neighbouring slices, which keeps their order.
     """
+    wanted = [partitions] if partitions else []
     ranged = cut_lineage(
-        df.repartitionByRange(partitions or _partitions(df), *keys, *order)
-        .withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(*wanted, *keys, *order).withColumn("_slice", F.spark_partition_id())
     )
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     # at most one row per (key, slice), so this window is bounded by the number of slices
