@@ -43,14 +43,18 @@ def to_float(column: Column, default: float | None = 0.0) -> Column:
 
 
 def to_money(column: Column, default: float | None = 0.0, scale: int = 2) -> Column:
-    """Exact decimal rounded to ``scale``; unreadable text becomes ``default``."""
-    value = F.round(number_text(column).try_cast(MONEY), scale).cast(MONEY)
+    """Exact decimal rounded to ``scale``; unreadable text becomes ``default``.
+
+    The decimal cast skips white space and takes just the forms of ``DECIMAL_TEXT``, so no
+    pattern has to be matched per value.
+    """
+    value = F.round(column.try_cast(MONEY), scale).cast(MONEY)
     return value if default is None else F.coalesce(value, F.lit(default).cast(MONEY))
 
 
 def to_int(column: Column, default: int | None = 0) -> Column:
-    """Whole number by truncating the float reading, so ``1e3`` is 1000 and ``6.9`` is 6."""
-    value = number_text(column).try_cast("double").try_cast("bigint")
+    """Whole number by cutting off the fraction, so ``1e3`` is 1000 and ``6.9`` is 6."""
+    value = column.try_cast("decimal(38,18)").try_cast("bigint")
     return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 
@@ -62,15 +66,15 @@ def safe_cast_numeric(column: Column, to: str = MONEY) -> Column:
 
 def to_timestamp(column: Column) -> Column:
     """Wall-clock timestamp of ISO text; a zone mark is read over, as in a zone-less SQL cast."""
-    return strip(column.cast("string")).try_cast("timestamp_ntz")
+    return column.try_cast("timestamp_ntz")
 
 
 def to_date(column: Column) -> Column:
-    return strip(column.cast("string")).try_cast("date")
+    return column.try_cast("date")
 
 
 def to_bool(column: Column) -> Column:
-    return strip(column.cast("string")).try_cast("boolean")
+    return column.try_cast("boolean")
 
 
 def date_from_ts(column: Column) -> Column:

@@ -14,13 +14,13 @@ BROADCAST_BYTES = 32 << 20
 
 
 def reject_duplicates(
-    df: DataFrame, key: str, order: list[str], prior: Column | None = None,
+    df: DataFrame, key: str, order: list[str], bad: tuple[Column, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Adds ``_reject_reason``: NULL for the first row of each key in ``order``, else why not.
 
-    ``order`` has to be unique per row (file and position). Rows with a ``prior`` reason are
-    out of the race for their key.
+    ``key`` is trimmed text with blanks as NULL; ``order`` is unique per row (file and
+    position). ``bad`` is a condition with its reason; such rows are out of the race for their key.
 
     Only keys that repeat matter, so they are found first, by a key-only partial aggregate
     that thins a hot key in the map tasks, and written out. If that list is measured to be
@@ -28,41 +28,36 @@ def reject_duplicates(
     position of their key on key *and* position, which spreads a hot key over all tasks.
     Neither way puts the rows of one key into one task, as a window over the key would.
     """
-    name = F.btrim(F.col(key).cast("string"))
-    blank = name.isNull() | (name == "")
-    reason = F.when(blank, F.lit(f"missing primary key {key}"))
-    if prior is not None:
-        reason = F.coalesce(prior, reason)
-    marked = df.withColumn(REASON, reason).withColumn("__key", F.when(F.col(REASON).isNull(), name))
-    racing = marked.where(F.col("__key").isNotNull()).select(F.col("__key").alias("__k"), *order)
-
+    rules = [(F.col(key).isNull(), f"missing primary key {key}")]
+    racing = df.where(F.col(key).isNotNull())
+    if bad is not None:
+        rules.insert(0, bad)
+        racing = racing.where(~bad[0])
     first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
-    per_key = racing.groupBy("__k").agg(first.alias("__first"), F.count(F.lit(1)).alias("__n"))
+    per_key = racing.groupBy(F.col(key).alias("__k")).agg(
+        first.alias("__first"), F.count(F.lit(1)).alias("__n"))
     repeated = cut_lineage(per_key.where("__n > 1").drop("__n"))
     width = 64 + 32 * len(order)
-    size = repeated.agg(F.coalesce(F.sum(F.octet_length("__k") + width), F.lit(0)).alias("b")).first().b
-    duplicate = F.lit(f"duplicate primary key {key}")
+    size = repeated.agg(
+        F.coalesce(F.sum(F.octet_length(F.col("__k").cast("string")) + width), F.lit(0)).alias("bytes")
+    ).first().bytes
+
     if size <= broadcast_bytes:
         place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         late = F.col("__k").isNotNull() & ~place.eqNullSafe(F.col("__first"))
-        joined = marked.join(F.broadcast(repeated), F.col("__key") == F.col("__k"), "left")
-        return joined.withColumn(
-            REASON, F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(late, duplicate)
-        ).drop("__key", "__k", "__first")
-
-    parts = (
-        [F.col("__first").alias("__f0")] if len(order) == 1
-        else [F.col(f"__first.{c}").alias(f"__f{i}") for i, c in enumerate(order)])
-    firsts = per_key.select("__k", *parts)
-    condition = F.col("__key") == F.col("__k")
-    for i, column in enumerate(order):
-        condition = condition & F.col(column).eqNullSafe(F.col(f"__f{i}"))
-    return (
-        marked.join(firsts, condition, "left")
-        .withColumn(
-            REASON, F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(F.col("__k").isNull(), duplicate))
-        .drop("__key", "__k", *[f"__f{i}" for i in range(len(order))])
-    )
+        joined = df.join(F.broadcast(repeated), F.col(key) == F.col("__k"), "left")
+        spent = ["__k", "__first"]
+    else:
+        parts = [F.col("__first") if len(order) == 1 else F.col(f"__first.{c}") for c in order]
+        firsts = per_key.select("__k", *[part.alias(f"__f{i}") for i, part in enumerate(parts)])
+        condition = F.col(key) == F.col("__k")
+        for i, column in enumerate(order):
+            condition = condition & F.col(column).eqNullSafe(F.col(f"__f{i}"))
+        late = F.col("__k").isNull()
+        joined = df.join(firsts, condition, "left")
+        spent = ["__k", *[f"__f{i}" for i in range(len(order))]]
+    rules.append((late, f"duplicate primary key {key}"))
+    return joined.withColumn(REASON, first_reason(rules)).drop(*spent)
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -111,10 +111,8 @@ def standardize(df: DataFrame, source: str, order: list[str]) -> DataFrame:
     ``order`` is the file order that decides which of several rows with one key is kept.
     """
     rows = typed(df, source)
-    negative = None
-    if source == "ecommerce_transactions":
-        negative = F.when(F.col("amount") < 0, F.lit("negative amount"))
-    marked = reject_duplicates(rows, SOURCES[source].primary_key, order, prior=negative)
+    negative = (F.col("amount") < 0, "negative amount") if source == "ecommerce_transactions" else None
+    marked = reject_duplicates(rows, SOURCES[source].primary_key, order, bad=negative)
     if source == "targets_planning":
         marked = marked.withColumn("target_date", to_date(F.col("target_date")))
     return marked
