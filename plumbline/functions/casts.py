@@ -115,8 +115,3 @@ def row_digest(columns: list[Column]) -> Column:
         text = column.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.sha2(F.concat_ws("|", *parts), 256)
-
-
-def python_json_list(items: Column) -> Column:
-    """Text array as a JSON list."""
-    return F.to_json(items)

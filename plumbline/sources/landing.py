@@ -106,9 +106,24 @@ def _placed(df: DataFrame) -> DataFrame:
     })
 
 
-def read_csv_group(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+def files_with_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """CSV files in which some line has an odd number of quotes: a value runs over lines."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = (
+        spark.read.text(paths).where(quotes % 2 == 1)
+        .select(F.col("_metadata.file_path").alias("p")).distinct().collect()
+    )
+    broken = {urllib.parse.unquote(row.p).replace("file:///", "file:/") for row in found}
+    return {path for path in paths if path in broken}
+
+
+def read_csv_group(
+    spark: SparkSession, paths: list[str], header: list[str], line_breaks: bool = False
+) -> DataFrame:
+    """Files of one header. Only files with line breaks inside values are read unsplit."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    reader = spark.read.schema(schema).options(header=True, enforceSchema=True, escape='"')
+    reader = spark.read.schema(schema).options(
+        header=True, enforceSchema=True, escape='"', multiLine=line_breaks)
     return _placed(reader.csv(paths))
 
 
@@ -148,8 +163,14 @@ def read_landing(spark: SparkSession, glob: str) -> list[FileGroup]:
             if not head:
                 continue
             header = head.split("\x1f")
-            rows = read_csv_group(spark, members, header)
-        elif kind == "json":
+            broken = files_with_line_breaks(spark, members)
+            parts = [[m for m in members if m not in broken], [m for m in members if m in broken]]
+            for part, line_breaks in zip(parts, (False, True)):
+                if part:
+                    rows = read_csv_group(spark, part, header, line_breaks)
+                    groups.append(FileGroup(kind, header, part, rows))
+            continue
+        if kind == "json":
             rows = read_json_group(spark, members, head)
         else:
             rows = read_jsonl_group(spark, members)
