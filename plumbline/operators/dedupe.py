@@ -29,27 +29,28 @@ def reject_duplicates(
     Neither way puts the rows of one key into one task, as a window over the key would.
     """
     rules = [(F.col(key).isNull(), f"missing primary key {key}")]
-    racing = df.where(F.col(key).isNotNull())
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    running = place
     if bad is not None:
         rules.insert(0, bad)
-        racing = racing.where(~bad[0])
-    first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
-    per_key = racing.groupBy(F.col(key).alias("__k")).agg(
-        first.alias("__first"), F.count(F.lit(1)).alias("__n"))
-    repeated = cut_lineage(per_key.where("__n > 1").drop("__n"))
+        # inside the aggregate, not a filter: as a filter the condition would be copied below
+        # the joins that built the rows and evaluated again there
+        running = F.when(~bad[0], place)
+    per_key = df.groupBy(F.col(key).alias("__k")).agg(
+        F.min(running).alias("__first"), F.count(running).alias("__n"))
+    repeated = cut_lineage(per_key.where("__k is not null and __n > 1").drop("__n"))
     width = 64 + 32 * len(order)
     size = repeated.agg(
         F.coalesce(F.sum(F.octet_length(F.col("__k").cast("string")) + width), F.lit(0)).alias("bytes")
     ).first().bytes
 
     if size <= broadcast_bytes:
-        place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         late = F.col("__k").isNotNull() & ~place.eqNullSafe(F.col("__first"))
         joined = df.join(F.broadcast(repeated), F.col(key) == F.col("__k"), "left")
         spent = ["__k", "__first"]
     else:
         parts = [F.col("__first") if len(order) == 1 else F.col(f"__first.{c}") for c in order]
-        firsts = per_key.select("__k", *[part.alias(f"__f{i}") for i, part in enumerate(parts)])
+        firsts = per_key.where("__k is not null and __n > 0").select("__k", *[part.alias(f"__f{i}") for i, part in enumerate(parts)])
         condition = F.col(key) == F.col("__k")
         for i, column in enumerate(order):
             condition = condition & F.col(column).eqNullSafe(F.col(f"__f{i}"))
