@@ -160,7 +160,7 @@ def silver_outcome_counts(spark, sf):
       page, count(*) as tickets
     from (select *, 'page-' || substr(created_ts, 1, 10) as page from raw_support) group by 1, 2""")
 def api_page_outcomes(spark, sf):
-    """Tickets regrouped into daily pages, unpacked again and routed by their first failing rule."""
+    """Tickets as API pages, unpacked and routed by the first rule they fail."""
     tickets = view(spark, sf, "raw_support").select(
         F.concat(F.lit("page-"), F.substring("created_ts", 1, 10)).alias("request_id"),
         F.array(F.struct("ticket_id", F.col("user_id").alias("customer_id"), "created_ts", "priority",

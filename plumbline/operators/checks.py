@@ -114,12 +114,22 @@ def validate(df: DataFrame, dataset: str, suite: Suite) -> DataFrame:
         aggregates[f"neg_{column}"] = (
             count_when(below_zero(column)) if column in present else F.count(F.lit(1)))
     facts = df.agg(*[expression.alias(name) for name, expression in aggregates.items()])
+    for column in suite.unique:
+        if column in present:  # one row each, side by side with the one row of the other counters
+            surplus = duplicate_counts(df, column).select(F.col("surplus_rows").alias(f"dup_{column}"))
+            facts = facts.withColumn("__one", F.lit(1)).join(
+                surplus.withColumn("__one", F.lit(1)), "__one").drop("__one")
+        else:
+            facts = facts.withColumn(f"dup_{column}", F.lit(0))
 
     missing = sorted(set(suite.required) - present)
     zero = F.lit(0)
     results = [_result(
         "schema_required_columns", "critical", F.lit(bool(missing)), F.lit(len(missing)),
         _json(missing), _json(suite.required), F.col("rows") if missing else zero)]
+    for column in suite.unique:
+        n = F.col(f"dup_{column}")
+        results.append(_result(f"unique_{column}", "critical", n > 0, n, n, zero, n))
     for column, limit in suite.null_rates.items():
         nulls = F.col(f"null_{column}")
         rate = F.when(F.col("rows") > 0, nulls / F.col("rows")).otherwise(F.lit(0.0))
@@ -137,18 +147,6 @@ def validate(df: DataFrame, dataset: str, suite: Suite) -> DataFrame:
     rows = facts.select(F.col("rows").alias("row_count"), F.explode(F.array(*results)).alias("r"))
     rows = rows.select("row_count", "r.*")
 
-    for column in suite.unique:
-        if column in present:
-            surplus = duplicate_counts(df, column)
-        else:
-            surplus = df.sparkSession.range(1).select(F.lit(0).alias("surplus_rows"))
-        n = F.col("surplus_rows")
-        counted = facts.select(F.col("rows").alias("row_count"), F.lit(column).alias("__c"))
-        rows = rows.unionByName(
-            counted.join(surplus.withColumn("__c", F.lit(column)), "__c")
-            .select("row_count", _result(
-                f"unique_{column}", "critical", n > 0, n, n, F.lit(0), n).alias("r"))
-            .select("row_count", "r.*"))
     if any(column in present for column in suite.accepted_values):
         lists = first_values(bad_values(df, suite), ["check_name"], "value")
         rows = (

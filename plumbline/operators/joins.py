@@ -16,6 +16,25 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{column}" for column in on])
 
 
+LOOKUP_ROWS = 200_000
+SALTS = 32
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[str],
+           most: int = LOOKUP_ROWS, salts: int = SALTS) -> DataFrame:
+    """Left join of many rows to one row per ``key``, safe when one key owns most of the rows.
+
+    ``right`` is counted up to ``most`` rows. If it stays below, it is broadcast. Otherwise
+    the rows of a key are dealt over ``salts`` tasks by ``spread_by`` and ``right`` is repeated
+    once per salt.
+    """
+    if right.limit(most + 1).count() <= most:
+        return left.join(F.broadcast(right), key, "left")
+    dealt = left.withColumn("__salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
+    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
 def text_windows(text: Column, lengths: list[int]) -> Column:
     """All substrings of ``text`` that have one of ``lengths``, each once."""
     empty = F.array().cast("array<string>")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.joins import lookup
+
 BRONZE_MARKS = ("_ingest_batch_id", "_source_file", "_source_system", "_ingested_at", "_schema_version")
 
 
@@ -24,7 +26,5 @@ def with_file_versions(df: DataFrame, versions: DataFrame) -> DataFrame:
     """Schema version per source file, from the schema history (one row per file)."""
     per_file = versions.select(
         F.col("file_name").alias("_source_file"), F.col("current_version").cast("int").alias("_v"))
-    return (
-        df.join(per_file, "_source_file", "left")
-        .withColumn("_schema_version", F.col("_v")).drop("_v")
-    )
+    joined = lookup(df, per_file, "_source_file", ["_block_start", "_row_rank"])
+    return joined.withColumn("_schema_version", F.col("_v")).drop("_v")

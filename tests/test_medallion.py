@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_landing
-from plumbline.plans.medallion import run_medallion
+from plumbline.plans.medallion import Run, ingest, run_medallion
 
 NOW = "2026-05-11T12:00:00+00:00"
 
@@ -147,16 +147,14 @@ def test_exports(spark, run):
     assert low.reason_codes == "critical_open_alert;failed_quality_gate;freshness_or_slo_risk"
 
 
-def test_second_run_keeps_versions_and_counts(spark, run):
-    _, out = run
-    landing = out.replace("/lake", "/landing")
-    run_medallion(spark, landing, out, "run-2", "2026-05-12T12:00:00+00:00", date_as_timestamp=True)
+def test_second_ingest_continues_the_history(spark, run):
+    out = run[1]
+    again = Run(spark, out.replace("/lake", "/landing"), out, "run-2", "2026-05-12T12:00:00+00:00", True)
+    bronze = ingest(again)
+    assert bronze["ecommerce_transactions"].count() == 9
     history = control(spark, out, "schema_history").where("run_id = 'run-2'")
-    versions = {r.file_name: r.current_version for r in history.collect()}
-    assert versions["orders_2026_05_09.csv"] == 3 and versions["orders_2026_05_10_schema_v2.csv"] == 4
-    assert versions["campaigns_2026_05_10.csv"] == 1
-    volume = control(spark, out, "row_count_anomalies").where("run_id = 'run-2'").collect()
-    got = {r.dataset_name: (r.status, r.baseline_row_count) for r in volume}
-    assert got["gold_customer_analytics"] == ("passed", 5.0)
-    alerts = control(spark, out, "alerts")
-    assert alerts.where("run_id = 'run-1'").count() == 7
+    versions = {r.file_name: (r.current_version, r.status) for r in history.collect()}
+    assert versions["orders_2026_05_09.csv"] == (3, "breaking_drift")
+    assert versions["orders_2026_05_10_schema_v2.csv"] == (4, "compatible_evolution")
+    assert versions["campaigns_2026_05_10.csv"] == (1, "unchanged")
+    assert control(spark, out, "contract_reports").where("run_id = 'run-1'").count() == 8

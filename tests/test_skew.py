@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.dedupe import reject_duplicates
 from plumbline.operators.evidence import first_values
-from plumbline.operators.joins import contains_name, join_null_safe
+from plumbline.operators.joins import contains_name, join_null_safe, lookup
 from plumbline.operators.ordered import previous, running_total, trailing, with_position
 
 
@@ -93,6 +93,15 @@ def test_null_safe_join_keeps_null_keys(spark):
     assert {tuple(r) for r in join_null_safe(left, right, ["k"]).collect()} == {(None, 1, 10), ("a", 2, 20)}
 
 
+@pytest.mark.parametrize("most", [1000, 3])
+def test_lookup_broadcast_or_salted(spark, skewed, most):
+    rows, df = skewed
+    names = sorted({r[0] for r in rows})[:-1]
+    right = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "k string, w int")
+    got = {r.t: r.w for r in lookup(df, right, "k", ["t"], most=most, salts=4).collect()}
+    assert got == {t: (names.index(k) if k in names else None) for k, t, _ in rows}
+
+
 def test_rows_are_not_shuffled_when_few_keys_repeat(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("t"))
     plan = reject_duplicates(df, "k", ["t"])._jdf.queryExecution().executedPlan().toString()
