@@ -53,26 +53,22 @@ def name_lengths(names: DataFrame, column: str) -> list[int]:
     return sorted(row.n for row in rows)
 
 
-def contains_name(
-    texts: DataFrame, text: str, names: DataFrame, name: str, on: list[str] | None = None
+def best_mention(
+    texts: DataFrame, text: str, score: str, names: DataFrame, name: str, on: list[str] | None = None,
+    most: int = LOOKUP_ROWS,
 ) -> DataFrame:
-    """Pairs (row of ``texts``, row of ``names``) where the text holds the name anywhere.
+    """Highest ``score`` of the texts that hold each name anywhere, per ``on`` and name.
 
     Substring search as an equi-join: a text is cut into its windows of the name lengths and
-    each window is looked up by equality. Unlike a join on ``contains`` this needs no
-    nested loop and no broadcast, so neither side has to be small. ``on`` adds equal keys.
+    each window is looked up by equality, so there is no nested loop. Up to ``most`` names, as
+    counted, are broadcast. Beyond that the windows are first reduced to one row each, in the
+    map tasks already, so a name that stands in a third of all texts does not pile up.
     """
-    lengths = name_lengths(names, name)
     keys = on or []
-    pieces = texts.withColumn("__window", F.explode(text_windows(F.col(text), lengths)))
-    lookup = names.withColumnRenamed(name, "__name")
-    if keys:
-        lookup = lookup.withColumnsRenamed({key: f"__r_{key}" for key in keys})
-    condition = F.col("__window") == F.col("__name")
-    for key in keys:
-        condition = condition & (F.col(key) == F.col(f"__r_{key}"))
-    return (
-        pieces.join(lookup, condition, "inner")
-        .drop("__window", *[f"__r_{key}" for key in keys])
-        .withColumnRenamed("__name", name)
-    )
+    pieces = texts.select(
+        *keys, score, F.explode(text_windows(F.col(text), name_lengths(names, name))).alias(name))
+    if names.limit(most + 1).count() <= most:
+        pieces = pieces.join(F.broadcast(names.select(*keys, name)), [*keys, name], "left_semi")
+        return pieces.groupBy(*keys, name).agg(F.max(score).alias(score))
+    best = pieces.groupBy(*keys, name).agg(F.max(score).alias(score))
+    return best.join(names.select(*keys, name), [*keys, name], "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.config import READINESS_TARGET_OTHER, READINESS_TARGET_TIER_1, SOURCES, TIER_1_MARTS
 from plumbline.functions.casts import count_when
-from plumbline.operators.joins import contains_name, join_null_safe
+from plumbline.operators.joins import best_mention, join_null_safe
 from plumbline.operators.ordered import trailing
 
 # Schema states that count as healthy, and the score that counts as ready.
@@ -142,8 +142,8 @@ def worst_alerts(alerts: DataFrame, datasets: DataFrame) -> DataFrame:
 
     An alert concerns a dataset it names, or one whose name stands in its business impact.
     The equality part and the text part are separate equi-joins. Alerts shrink to the worst
-    rank per name and per text window before they are shuffled, so repeated alerts on one
-    dataset cannot pile up in one task.
+    rank per name and per text before they are joined, so repeated alerts on one dataset cannot
+    pile up in one task.
     """
     keys = ["run_id"]
     opened = alerts.where(F.col("resolution_status") == "open").withColumn(
@@ -151,7 +151,7 @@ def worst_alerts(alerts: DataFrame, datasets: DataFrame) -> DataFrame:
     named = datasets.select(*keys, "dataset_name").distinct()
     direct = opened.groupBy(*keys, "dataset_name").agg(F.max("rank").alias("rank"))
     texts = opened.groupBy(*keys, "business_impact").agg(F.max("rank").alias("rank"))
-    mentioned = contains_name(texts, "business_impact", named, "dataset_name", on=keys)
+    mentioned = best_mention(texts, "business_impact", "rank", named, "dataset_name", on=keys)
     return (
         direct.join(named, [*keys, "dataset_name"], "left_semi")
         .unionByName(mentioned.select(*keys, "dataset_name", "rank"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.dedupe import reject_duplicates
 from plumbline.operators.evidence import first_values
-from plumbline.operators.joins import contains_name, join_null_safe, lookup
+from plumbline.operators.joins import best_mention, join_null_safe, lookup
 from plumbline.operators.ordered import previous, running_total, trailing, with_position
 
 
@@ -70,13 +70,19 @@ def test_previous_and_running_total(skewed):
     assert {r.t: (r.previous_v, r.s) for r in both.collect()} == plain
 
 
-def test_contains_name_is_substring_search(spark):
-    names = ["gold_a", "gold_ab", "b", "silver"]
+@pytest.mark.parametrize("most", [100, 1])
+def test_mentions_are_substring_search(spark, most):
+    names = ["gold_a", "gold_ab", "b", "silver", "absent"]
     texts = ["late gold_ab load", "gold_a", "xgold_abx and silver", "nothing here", "ab"]
-    left = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    right = spark.createDataFrame([(n,) for n in names], "name string")
-    got = {(r.i, r.name) for r in contains_name(left, "text", right, "name").collect()}
-    assert got == {(i, n) for i, t in enumerate(texts) for n in names if n in t}
+    left = spark.createDataFrame([(i % 2, i, t) for i, t in enumerate(texts)], "g int, i int, text string")
+    right = spark.createDataFrame([(g, n) for g in (0, 1) for n in names], "g int, name string")
+    got = {(r.g, r.name): r.i for r in best_mention(left, "text", "i", right, "name", ["g"], most).collect()}
+    expected = {}
+    for i, text in enumerate(texts):
+        for name in names:
+            if name in text:
+                expected[i % 2, name] = i
+    assert got == expected
 
 
 def test_first_values_counts_everything(spark, skewed):
