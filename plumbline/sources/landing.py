@@ -5,13 +5,9 @@ Every value is read as text; types are decided later from the values themselves.
 
 from __future__ import annotations
 
-import csv
-import io
 import urllib.parse
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,43 +51,49 @@ def list_files(spark: SparkSession, glob: str) -> list[str]:
     return sorted(row.path for row in found.collect())
 
 
-def _open(path: str):
-    from pyarrow import fs
+def _head_reader():
+    """Reader of first records, as a closure: it travels by value, whatever executors can import."""
 
-    if path.startswith("file:") or "://" not in path:
-        return fs.LocalFileSystem().open_input_stream(
-            urllib.parse.unquote(path.removeprefix("file:").replace("//", "/"))
-        )
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
+    def open_stream(path: str):
+        from pyarrow import fs
 
+        if path.startswith("file:") or "://" not in path:
+            return fs.LocalFileSystem().open_input_stream(path.removeprefix("file:").replace("//", "/"))
+        filesystem, inner = fs.FileSystem.from_uri(path)
+        return filesystem.open_input_stream(inner)
 
-def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Header of a CSV file, or the shape mark of a JSON file, from its first record only."""
-    for batch in batches:
-        heads = []
-        for path in batch["path"]:
-            if not path.lower().endswith((".csv", ".json")):
-                heads.append("")
-                continue
-            with io.TextIOWrapper(_open(path), encoding="utf-8-sig", newline="") as text:
-                if path.lower().endswith(".csv"):
-                    heads.append("\x1f".join(next(csv.reader(text), [])))
-                else:
-                    mark = text.read(1)
-                    while mark and mark.isspace():
-                        mark = text.read(1)
-                    heads.append(mark)
-        yield pd.DataFrame({"path": batch["path"], "head": heads})
+    def head(path: str) -> str:
+        import csv
+        import io
+
+        kind = path.lower().rsplit(".", 1)[-1]
+        if kind not in ("csv", "json"):
+            return ""
+        with io.TextIOWrapper(open_stream(path), encoding="utf-8-sig", newline="") as text:
+            if kind == "csv":
+                return "\x1f".join(next(csv.reader(text), []))
+            mark = text.read(1)
+            while mark and mark.isspace():
+                mark = text.read(1)
+            return mark
+
+    def read_heads(batches):
+        for batch in batches:
+            yield batch.assign(head=[head(path) for path in batch["path"]])
+
+    return read_heads
 
 
 def file_heads(spark: SparkSession, paths: list[str]) -> dict[tuple[str, str], list[str]]:
-    """(format, head) -> paths. Executors open each file once and read its first record."""
+    """(format, head) -> paths: the CSV header, or the first mark of a JSON document.
+
+    Executors open each file once and read its first record only.
+    """
     for path in paths:
         source_format(path)
     frame = spark.createDataFrame([(path,) for path in paths], "path string")
     slices = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    heads = frame.repartition(slices).mapInPandas(_read_heads, "path string, head string").collect()
+    heads = frame.repartition(slices).mapInPandas(_head_reader(), "path string, head string").collect()
     groups: dict[tuple[str, str], list[str]] = {}
     for row in sorted(heads, key=lambda r: r.path):
         groups.setdefault((source_format(row.path), row.head), []).append(row.path)

@@ -42,7 +42,7 @@ def test_quoted_header_and_values(spark, tmp_path):
 
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
-    put(f"{tmp_path}/a/x y.csv", 'id,note\n1,"two\nlines"\n2,b\n')
+    put(f"{tmp_path}/a/x %41 y.csv", 'id,note\n1,"two\nlines"\n2,b\n')
     put(f"{tmp_path}/a/z.csv", 'id,note\n3,c\n')
     groups = landing.read_landing(spark, f"{tmp_path}/a/*")
     rows = landing.union_groups(groups).collect()
