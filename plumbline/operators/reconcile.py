@@ -13,13 +13,21 @@ TOLERANCE = 0.01
 def compare_totals(pairs: list[tuple[str, DataFrame, Column, DataFrame, Column]], tolerance: float = TOLERANCE) -> DataFrame:
     """``pairs``: (check, left frame, left total, right frame, right total).
 
-    Each total is one aggregated row; the rows are stacked and paired by check name.
+    All totals over one frame share one aggregation, so each table is read once. The totals
+    are stacked as rows and paired by check name.
     """
-    sides = []
+    wanted: dict[int, tuple[DataFrame, list]] = {}
     for name, left, left_total, right, right_total in pairs:
         for side, frame, total in (("l", left, left_total), ("r", right, right_total)):
-            sides.append(frame.agg(F.coalesce(total.cast("decimal(38,4)"), F.lit(0)).alias("v")).select(
-                F.lit(name).alias("check_name"), F.lit(side).alias("side"), "v"))
+            wanted.setdefault(id(frame), (frame, []))[1].append((name, side, total))
+    sides = []
+    for frame, totals in wanted.values():
+        facts = frame.agg(*[
+            F.coalesce(total.cast("decimal(38,4)"), F.lit(0)).alias(f"t{i}")
+            for i, (_, _, total) in enumerate(totals)])
+        sides.append(facts.select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("check_name"), F.lit(side).alias("side"), F.col(f"t{i}").alias("v"))
+            for i, (name, side, _) in enumerate(totals)])).alias("t")).select("t.*"))
     totals = reduce(DataFrame.unionByName, sides).groupBy("check_name").agg(
         F.max(F.when(F.col("side") == "l", F.col("v"))).alias("l"),
         F.max(F.when(F.col("side") == "r", F.col("v"))).alias("r"))
