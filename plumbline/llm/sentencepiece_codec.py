@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,9 @@ SPACE = "▁"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 GROUP_CELLS = 2_000_000
 NO_PIECE = -1
+NEAR = 1024
+SEEN_BITS = 20
+MEMORY_BITS = 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -94,11 +98,18 @@ class Pieces:
         scores = np.array(self.score)
         self.best = scores
         several = {c for i in own if self.length[i] > 1 for c in self.text[i]}
-        # chunk borders: where no piece goes on, that is before a run of space marks and around line ends
-        inner = any(re.search(f"[^{SPACE}]{SPACE}", self.text[i]) for i in own)
-        line = "" if "\n" in several else "\n"
-        self.chunks = re.compile("(?s).+" if inner else f"{line or '(?!)'}|{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+")
-        self.pair_keys, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
+        # two characters that stand next to each other in no piece are a sure border
+        pairs = {(ord(x), ord(y)) for i in own for x, y in zip(self.text[i], self.text[i][1:])}
+        self.near = np.zeros((NEAR, NEAR), bool)
+        for x, y in pairs:
+            if x < NEAR and y < NEAR:
+                self.near[x, y] = True
+        self.far = np.array(sorted(x << 21 | y for x, y in pairs), np.int64)
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.memory_key, self.memory_ok = np.full(1 << MEMORY_BITS, -1, np.int64), np.zeros(1 << MEMORY_BITS, bool)
+        # bytes decode as themselves or, above 127, by way of escapes for single bytes
+        self.plain = ["" if k not in (1, 4, 6) else t if k != 6 else (chr(b) if (b := int(t[3:5], 16)) < 128 else chr(0xDC00 + b))
+                      for t, k in zip(self.text, self.kind)]
         if self.merges:
             # earlier merges have smaller ranks; single characters are there from the start
             self.rank = np.full(len(self.text) + 1, -1, np.int64)
@@ -106,6 +117,7 @@ class Pieces:
             self.rank[longer[np.argsort(-scores[longer], kind="stable")]] = np.arange(len(longer))
             self.left, self.right = np.full(len(self.text) + 1, -1), np.full(len(self.text) + 1, -1)
             self._splits(longer)
+        self.seen[(self.keys >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
 
     def hash_of(self, text: str) -> int:
         h = 0
@@ -170,55 +182,77 @@ class Pieces:
             self.keys, self.ids = self.keys[keep], self.ids[keep]
 
     def allowed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """``_apart`` with a memory of the pairs seen."""
+        """``_apart`` with a bounded memory of pairs."""
         key = a.astype(np.int64) * (len(self.text) + 1) + b
-        new = np.unique(key)
-        if len(self.pair_keys):
-            at = np.minimum(np.searchsorted(self.pair_keys, new), len(self.pair_keys) - 1)
-            new = new[self.pair_keys[at] != new]
-        if len(new):
-            if len(self.pair_keys) > 4_000_000:  # the memory is bounded; what is needed now is kept
-                new, self.pair_keys, self.pair_ok = np.unique(key), self.pair_keys[:0], self.pair_ok[:0]
-            ok = self._apart(new // (len(self.text) + 1), new % (len(self.text) + 1))
-            keys = np.concatenate([self.pair_keys, new])
-            order = np.argsort(keys, kind="stable")
-            self.pair_keys, self.pair_ok = keys[order], np.concatenate([self.pair_ok, ok])[order]
-        return self.pair_ok[np.searchsorted(self.pair_keys, key)]
+        at = ((key.view(np.uint64) * PRIME) >> np.uint64(64 - MEMORY_BITS)).astype(np.int64)
+        known = self.memory_key[at] == key
+        ok = self.memory_ok[at]
+        if not known.all():
+            new, where = np.unique(key[~known], return_inverse=True)
+            fresh = self._apart(new // (len(self.text) + 1), new % (len(self.text) + 1))
+            ok[~known] = fresh[where]
+            self.memory_key[at[~known]], self.memory_ok[at[~known]] = key[~known], fresh[where]
+        return ok
 
     def segment(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Chunks of one length, a row each: piece that ends at each position, and its length."""
         rows, size = points.shape
         none = len(self.text)  # a character without a piece
-        reach = min(self.longest, size)
         hashes = np.zeros((rows, size), np.uint64)
         last = np.full((rows, size + 1), none)
         back = np.zeros((rows, size + 1), np.int32)
         total = np.full((rows, size + 1), -np.inf)
         total[:, 0] = 0
+        scores = np.append(self.best, self.best.min(initial=0.0) - 10.0) if not self.merges else np.zeros(none + 1)
         for end in range(1, size + 1):
-            # hashes[:, k]: of the substring from k to the end
-            low = max(0, end - reach)
+            low = max(0, end - self.longest)
+            # from here on hashes[:, k] is of the substring from k to the end
             with np.errstate(over="ignore"):
                 hashes[:, low:end] = hashes[:, low:end] * PRIME + points[:, end - 1, None]
-            for start in range(low, end):
-                ids = self.find(hashes[:, start])
-                if start == end - 1:
-                    ids = np.where(ids < 0, none, ids)
-                ok = (ids >= 0) & np.isfinite(total[:, start])
-                if not ok.any():
-                    continue
-                if self.merges:
-                    if start:
-                        at = np.flatnonzero(ok)
-                        ok[at] = self.allowed(last[at, start], ids[at])
-                    value = np.where(ok, 0.0, -np.inf)
-                else:
-                    scores = np.append(self.best, self.best.min() - 10.0)
-                    value = np.where(ok, total[:, start] + scores[ids], -np.inf)
-                better = value > total[:, end]
-                total[better, end], back[better, end], last[better, end] = value[better], end - start, ids[better]
+            maybe = self.seen[(hashes[:, low:end] >> np.uint64(64 - SEEN_BITS)).astype(np.int64)]
+            maybe[:, -1] = True
+            row, start = np.nonzero(maybe)
+            start += low
+            ids = self.find(hashes[row, start])
+            ids[(ids < 0) & (start == end - 1)] = none
+            value = total[row, start] + scores[ids]
+            ok = (ids >= 0) & np.isfinite(value)
+            row, start, ids, value = row[ok], start[ok], ids[ok], value[ok]
+            if self.merges:
+                ok = start == 0
+                ok[~ok] = self.allowed(last[row[~ok], start[~ok]], ids[~ok])
+                row, start, ids, value = row[ok], start[ok], ids[ok], value[ok]
+            best = np.full(rows, -np.inf)
+            np.maximum.at(best, row, value)
+            won = value == best[row]
+            total[:, end] = best
+            back[row[won], end], last[row[won], end] = end - start[won], ids[won]
         return last, back
 
+    def cut(self, texts: list[str]) -> list[list[str]]:
+        """Each text in chunks between sure borders."""
+        whole = "".join(texts)
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.int32)
+        ends = np.cumsum([len(t) for t in texts])
+        x, y = points[:-1], points[1:]
+        joined = np.zeros(len(points), bool)  # by the place of the first of two characters
+        low = (x < NEAR) & (y < NEAR)
+        joined[:-1] = self.near[np.where(low, x, 0), np.where(low, y, 0)] & low
+        other = np.flatnonzero(~low)
+        if len(self.far) and len(other):
+            key = x[other].astype(np.int64) << 21 | y[other]
+            joined[other] = self.far[np.minimum(np.searchsorted(self.far, key), len(self.far) - 1)] == key
+        joined[ends[ends > 0] - 1] = False
+        borders = np.flatnonzero(~joined) + 1
+        out, at = [], 0
+        places = np.searchsorted(borders, ends, "right")
+        begin = 0
+        for end, upto in zip(ends.tolist(), places.tolist()):
+            own = borders[at:upto].tolist()
+            out.append([whole[a:b] for a, b in zip([begin, *own[:-1]], own) if a < b])
+            at, begin = upto, end
+        return out
+
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(chunks)
         sizes = np.array([len(c) for c in chunks])
@@ -230,12 +264,16 @@ class Pieces:
                 text = "".join(chunks[i] for i in part)
                 points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), int(size)).astype(np.uint64) + np.uint64(1)
                 last, back = self.segment(points)
-                for r, i in enumerate(part):
-                    ids, at = [], int(size)
-                    while at > 0:
-                        ids.append((int(last[r, at]), at))
-                        at -= int(back[r, at])
-                    out[i] = [x for piece, end in reversed(ids) for x in self._plain(piece, chunks[i][end - 1])]
+                path, at, every = np.zeros(last.shape, bool), np.full(len(part), int(size)), np.arange(len(part))
+                while at.any():
+                    path[every, at] = True
+                    at = at - back[every, at]
+                path[:, 0] = False
+                ids, ends = last[path].tolist(), np.cumsum(path.sum(axis=1)).tolist()
+                strange = (path & (last == len(self.text))).any(axis=1)
+                for r, (i, lo_, hi) in enumerate(zip(part.tolist(), [0, *ends[:-1]], ends)):
+                    out[i] = ids[lo_:hi] if not strange[r] else [
+                        x for end in np.flatnonzero(path[r]) for x in self._plain(int(last[r, end]), chunks[i][end - 1])]
         return out
 
     def _plain(self, piece: int, char: str) -> list[int]:
@@ -251,18 +289,9 @@ class Pieces:
         return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
 
     def decode(self, ids: list[int]) -> str:
-        out, held = [], bytearray()
-        for i in ids:
-            if self.kind[i] == 6:
-                held.append(int(self.text[i][3:5], 16))
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            if self.kind[i] in (1, 4):
-                out.append(self.text[i])
-        out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        text = "".join(map(self.plain.__getitem__, ids))
+        if not text.isascii():
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
@@ -279,13 +308,13 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", keep: list[s
         for batch in batches:
             for lo in range(0, len(batch), 1000):
                 part = batch.iloc[lo:lo + 1000]
-                texts = [None if t is None else pieces.chunks.findall(pieces.prepared(t)) for t in part["_text"]]
-                new = list({c for t in texts if t for c in t}.difference(known))
+                texts = pieces.cut([pieces.prepared(t or "") for t in part["_text"]])
+                new = list(set().union(*texts).difference(known))
                 if len(known) + len(new) > memory:
                     known.clear()
-                    new = list({c for t in texts if t for c in t})
+                    new = list(set().union(*texts))
                 known.update(zip(new, pieces.encode_chunks(new)))
-                ids = [None if t is None else [i for c in t for i in known[c]] for t in texts]
+                ids = [None if t is None else list(chain.from_iterable(map(known.__getitem__, c))) for t, c in zip(part["_text"], texts)]
                 same = [None if i is None else pieces.decode(i) == t for i, t in zip(ids, part["_text"])]
                 out = {c: part[c] for c in keep}
                 yield pd.DataFrame({**out, "ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "round_trip": same}).astype({"n_ids": "Int64"})
