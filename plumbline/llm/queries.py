@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, jaccard_join, language_id, line_dedup, quality_classifier, quality_rules, sentencepiece_codec, sharding
+from plumbline.llm import chat, decontaminate, jaccard_join, language_id, language_model, line_dedup, quality_classifier, quality_rules, sentencepiece_codec, sharding
 from plumbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, fold(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
