@@ -34,6 +34,11 @@ FLUSH = 600_000
 BACKOFF = 0.8
 
 
+def plain(values: list[str]) -> pd.Series:
+    """Strings as Python objects; a string column made of pieces, or empty, may not turn into one Arrow array."""
+    return pd.Series(values, dtype=object)
+
+
 def words_in(token: str) -> list[str]:
     """The runs of letters in a lower-case token."""
     if token.isalpha():
@@ -51,7 +56,7 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for token, n in tokens.items():
                 for word in words_in(token):
                     words[word] += n
-            yield pd.DataFrame({"lang": [lang] * len(words), "word": list(words), "n": list(words.values())})
+            yield pd.DataFrame({"lang": plain([lang] * len(words)), "word": plain(list(words)), "n": list(words.values())})
         counts.clear()
 
     for batch in batches:
@@ -90,7 +95,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held.clear()
         for lang, own in part.groupby("lang"):
             for size, grams, n in _grams_of(list(own["word"]), own["n"].to_numpy(np.float64)):
-                yield pd.DataFrame({"lang": [lang] * len(grams), "size": size, "gram": grams, "n": n.astype(np.int64)})
+                yield pd.DataFrame({"lang": plain([lang] * len(grams)), "size": size, "gram": plain(grams), "n": n.astype(np.int64)})
 
     for batch in batches:
         held.append(batch)
@@ -218,6 +223,6 @@ def predict(docs: DataFrame, model: LanguageModel, cache_tokens: int = 300_000)
                 share = np.exp(sums + m.prior - (sums + m.prior).max())
                 best = int(np.argmax(share))
                 found.append((m.langs[best], float(share[best] / share.sum())))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": plain([f[0] for f in found]), "score": [f[1] for f in found]})
 
     return docs.select("doc_id", "text").mapInPandas(score, "doc_id bigint, lang_pred string, score double")

@@ -20,20 +20,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plumbline.llm.common import BLANKS, SPACE_RUN, save
 
 DOC = ["doc_id", "h"]
+#: stands for a null id in keys, as joins drop nulls
+NULL_ID = -(2 ** 63)
+
+
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, h, idx, pos, line id, words before, and the shortest long enough runs that begin and end at each line."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))),
                      lambda x: F.btrim(x["line"], F.lit(BLANKS)) != "")
-    rows = (docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("h"), F.posexplode_outer(lines).alias("idx", "x")).filter("x is not null")
+    rows = (docs.filter("text is not null").select(_id(docs).alias("doc_id"), F.xxhash64("text").alias("h"), F.posexplode_outer(lines).alias("idx", "x")).filter("x is not null")
             .select(*DOC, "idx", "x.pos", F.xxhash64("x.line").alias("line"),
                     F.size(F.split(F.btrim("x.line", F.lit(BLANKS)), SPACE_RUN)).cast("long").alias("nw")))
     ordered = Window.partitionBy(*DOC).orderBy("idx")
@@ -99,7 +105,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 30) -> DataFrame:
             .join(lines.select(*DOC, "idx", "pos"), [*DOC, "idx"])
             .groupBy(*DOC).agg(F.array_sort(F.collect_set("pos")).alias("_gone")))  # at most the lines of one text
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), "_gone")
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
+    joined = docs.join(gone, (_id(docs) == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
     kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
     return joined.select(*[F.when(F.col("_gone").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c]
                            for c in docs.columns], F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
