@@ -10,9 +10,9 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.config import QUALITY_SUITES, SOURCES
 from plumbline.functions.names import normalize_name
@@ -38,6 +38,17 @@ MART_SOURCES = {
 }
 
 
+def escaped(value: str) -> str:
+    """A folder value from which partition discovery reads ``value`` back."""
+    return "".join(c if c.isalnum() or c in "-_." or ord(c) > 127 else f"%{ord(c):02X}" for c in value)
+
+
+def keyed_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with the run id last, as text: ids such as 0001 are not numbers."""
+    others = [f for f in schema.fields if f.name != "run_id"]
+    return T.StructType([*others, T.StructField("run_id", T.StringType())])
+
+
 @dataclass
 class Run:
     """Where a run reads and writes, and its fixed clock."""
@@ -50,26 +61,31 @@ class Run:
     date_as_timestamp: bool = False
     steps: list[tuple[str, float]] = field(default_factory=list)
     started: float = field(default_factory=time.perf_counter)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
 
     def control(self, name: str) -> str:
         return f"{self.out}/control/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes one control table of this run and returns it as read back."""
-        keyed = df if "run_id" in df.columns else df.withColumn("run_id", F.lit(self.run_id))
-        lake.replace_partitions(keyed, self.control(name), "run_id")
-        return self.load(name).where(F.col("run_id") == self.run_id)
+        """Writes one control table of this run and returns it as read back.
+
+        The run's own folder is overwritten even by a table without rows: a rerun leaves no old ones.
+        """
+        if "run_id" in df.columns:
+            df = df.where(F.col("run_id") == self.run_id).drop("run_id")
+        self.schemas[name] = df.schema
+        path = f"{self.control(name)}/run_id={escaped(self.run_id)}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).withColumn("run_id", F.lit(self.run_id))
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", True).parquet(self.control(name)).withColumn(
-            "run_id", F.col("run_id").cast("string"))
+        """All runs' rows of a control table that this run has saved."""
+        return self.spark.read.schema(keyed_schema(self.schemas[name])).parquet(self.control(name))
 
-    def history(self, name: str) -> DataFrame | None:
-        """Rows of earlier runs, None on the first run."""
-        try:
-            return self.load(name).where(F.col("run_id") != self.run_id)
-        except AnalysisException:
-            return None
+    def history(self, name: str, like: DataFrame) -> DataFrame | None:
+        """Rows of earlier runs with the columns of ``like``, None on the first run."""
+        found = lake.read_if_there(self.spark, self.control(name), keyed_schema(like.schema))
+        return None if found is None else found.where(F.col("run_id") != self.run_id)
 
     def step(self, name: str, since: float) -> None:
         self.steps.append((name, round(time.perf_counter() - since, 4)))
@@ -96,13 +112,15 @@ def ingest(run: Run) -> dict[str, DataFrame]:
                 rows, ["_source_file"], run.date_as_timestamp, skip_empty=group.format != "csv",
             ).withColumn("source_system", F.lit(name)))
             profiles.append(profile.profile_columns(rows).withColumn("source_system", F.lit(name)))
+    if not reports:
+        raise FileNotFoundError(f"no landing files below {run.landing}")
     run.save(_stack(reports).withColumnRenamed("_source_file", "file_name"), "contract_reports")
     run.save(_stack(profiles), "source_profiles")
 
     snaps = drift.snapshots(_stack(fields), ["source_system", "_source_file"]).select(
         "source_system", F.col("_source_file").alias("file_name"), "fields", "fingerprint",
         F.lit(run.run_id).alias("run_id"), F.lit(run.now).alias("detected_at"))
-    earlier = run.history("schema_snapshots")
+    earlier = run.history("schema_snapshots", snaps)
     snaps = run.save(snaps, "schema_snapshots")
     everything = snaps if earlier is None else earlier.select(snaps.columns).unionByName(snaps)
     versions = drift.schema_history(everything, ["detected_at", "file_name"])
@@ -110,7 +128,9 @@ def ingest(run: Run) -> dict[str, DataFrame]:
 
     bronze, log = {}, []
     for name, groups in by_source.items():
-        if not groups:
+        if not groups:  # the run goes on with an empty source
+            bronze[name] = enrich(landing.empty_rows(run.spark, SOURCES[name]), name, run.run_id, run.now)
+            lake.clear_bronze(bronze[name], f"{run.out}/bronze", name, run.now[:10], run.run_id)
             continue
         rows = enrich(landing.union_groups(groups), name, run.run_id, run.now)
         rows = with_file_versions(rows, versions.where(F.col("source_system") == name))
@@ -140,7 +160,7 @@ def build_silver(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]
         marked_path = f"{run.out}/silver_marked/dataset={dataset}/batch_id={lake.partition_value(run.run_id)}"
         standardize(rows, source, landing.FILE_ORDER).write.mode("overwrite").parquet(marked_path)
         marked = run.spark.read.parquet(marked_path)
-        lake.write_rejects(marked, f"{run.out}/rejected", dataset)
+        lake.write_rejects(marked, f"{run.out}/rejected", dataset, run.run_id)
         silver[dataset] = accepted(marked)
         lake.write_layer(silver[dataset], run.out, "silver", dataset, run.now[:10], run.run_id)
         counts.append(marked.agg(
@@ -165,10 +185,7 @@ def build_gold(run: Run, silver: dict[str, DataFrame], quality: DataFrame, load_
     def publish(name: str, df: DataFrame) -> None:
         lake.write_layer(df, run.out, "gold", name, run.now[:10], run.run_id)
         path = lake.partition_path(run.out, "gold", name, run.now[:10], run.run_id)
-        try:
-            gold[name] = run.spark.read.parquet(path)
-        except AnalysisException:
-            gold[name] = run.spark.createDataFrame([], df.schema)
+        gold[name] = run.spark.read.schema(df.schema).parquet(path)
 
     publish("gold_customer_analytics", marts.gold_customer_analytics(
         orders, silver["silver_customer_behavior"], silver["silver_crm_support"]))
@@ -262,8 +279,9 @@ def run_medallion(
 
     since = time.perf_counter()
     versions = run.load("schema_history").where(F.col("run_id") == run_id)
-    earlier = run.history("readiness")
-    ready = run.save(observe.readiness(mart_states(run, gold, versions)), "readiness")
+    ready = observe.readiness(mart_states(run, gold, versions))
+    earlier = run.history("readiness", ready)
+    ready = run.save(ready, "readiness")
     counted = ready.select("run_id", "dataset_name", "evaluated_at", "row_count")
     all_counts = counted if earlier is None else earlier.select(counted.columns).unionByName(counted)
     volume = observe.row_count_anomalies(all_counts, ["evaluated_at", "run_id"])

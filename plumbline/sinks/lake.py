@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.dedupe import REASON
 
@@ -48,10 +49,9 @@ def partition_column(column: Column) -> Column:
 
 def partition_path(root: str, layer: str, name: str | None, load_date: str, batch_id: str | None = None) -> str:
     if layer not in LAYERS:
-        raise ValueError(f"Unsupported lakehouse layer: {layer}")
+        raise ValueError(f"no such layer: {layer} (one of {', '.join(LAYERS)})")
     if not name:
-        what = "source_system" if layer == "bronze" else "dataset_name"
-        raise ValueError(f"{layer} Parquet partitions require {what}")
+        raise ValueError(f"a path of layer {layer} needs the name of its {'source' if layer == 'bronze' else 'dataset'}")
     label = "source_system" if layer == "bronze" else "dataset"
     path = f"{root}/{layer}/{label}={partition_value(name)}/load_date={partition_value(load_date)}"
     return f"{path}/batch_id={partition_value(batch_id)}" if batch_id else path
@@ -61,17 +61,20 @@ def counted_write(df: DataFrame, write) -> int:
     """Runs ``write(df)`` and returns its row count, taken during the write itself."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return int(seen.get["n"])
+    return int(seen.get.get("n") or 0)
 
 
 def write_layer(
     df: DataFrame, root: str, layer: str, name: str, load_date: str, batch_id: str | None = None
 ) -> WriteResult:
-    """One dataset of one load as Parquet. An empty frame is skipped, not written."""
+    """One dataset of one load as Parquet, counted while it is written.
+
+    An empty frame counts as skipped: its path then holds a schema and no rows, so that a rerun leaves no old ones.
+    """
     path = partition_path(root, layer, name, load_date, batch_id)
-    if not df.columns or df.isEmpty():
+    rows = counted_write(df, lambda frame: frame.write.mode("overwrite").parquet(path)) if df.columns else 0
+    if not rows:
         return WriteResult(layer, name, 0, path, "skipped", "No records to write.")
-    rows = counted_write(df, lambda frame: frame.write.mode("overwrite").parquet(path))
     return WriteResult(layer, name, rows, path, "written", "Partitioned Parquet file written.")
 
 
@@ -108,6 +111,13 @@ def write_bronze(df: DataFrame, path: str, ingest_date: str, batch_id: str, kind
     return counted_write(placed, write)
 
 
+def clear_bronze(empty: DataFrame, path: str, source: str, ingest_date: str, batch_id: str) -> None:
+    """Leaves a source's part of a batch without rows, whatever an earlier run of the batch wrote there."""
+    parts = (f"source_system={partition_value(source)}", f"ingest_date={partition_value(ingest_date)}",
+             f"batch_id={partition_value(batch_id)}")
+    empty.write.mode("overwrite").parquet("/".join([path, *parts]))
+
+
 def write_sorted_csv(df: DataFrame, path: str) -> None:
     """Headed CSV with columns in name order."""
     df.select(*sorted(df.columns)).write.mode("overwrite").option("header", True).csv(path)
@@ -130,13 +140,11 @@ def load_log_entries(counts: DataFrame, batch_id: str, load_time: str, layer: st
         F.lit("loaded").alias("load_status"), F.lit(layer).alias("layer"))
 
 
-def write_rejects(df: DataFrame, path: str, dataset: str) -> int:
-    """Rejected rows as JSON lines below ``dataset=``; nothing is written when there are none."""
+def write_rejects(df: DataFrame, path: str, dataset: str, batch_id: str) -> int:
+    """Rejected rows of one batch as JSON lines; a rerun without rejects leaves the batch's folder without rows."""
     rejects = df.where(F.col(REASON).isNotNull())
-    if rejects.isEmpty():
-        return 0
-    return counted_write(
-        rejects, lambda frame: frame.write.mode("overwrite").json(f"{path}/dataset={partition_value(dataset)}"))
+    folder = f"{path}/dataset={partition_value(dataset)}/batch_id={partition_value(batch_id)}"
+    return counted_write(rejects, lambda frame: frame.write.mode("overwrite").json(folder))
 
 
 def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -153,17 +161,29 @@ def truncate_and_load(df: DataFrame, table: str) -> None:
 
 
 def insert_if_absent(existing: DataFrame | None, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key is not there yet; of several with one key, one is kept."""
-    fresh = new.dropDuplicates([key])
-    return fresh if existing is None else fresh.join(existing.select(key), key, "left_anti")
+    """Rows of ``new`` whose key is not there yet; of several with one key, the least in order of the other columns."""
+    others = [column for column in new.columns if column != key]
+    if others:
+        fresh = new.groupBy(key).agg(F.min(F.struct(*others)).alias("__row")).select(
+            *[F.col(c) if c == key else F.col(f"__row.`{c}`").alias(c) for c in new.columns])
+    else:
+        fresh = new.distinct()
+    return fresh if existing is None else fresh.join(existing.select(key), key, "left_anti").select(*new.columns)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The Parquet table at ``path``, None when nothing is there; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def append_absent(spark: SparkSession, new: DataFrame, path: str, key: str) -> int:
     """Appends the rows of ``new`` whose key is not in the table at ``path``."""
-    try:
-        existing = spark.read.parquet(path)
-    except AnalysisException:
-        existing = None
+    existing = read_if_there(spark, path, new.schema)
     return counted_write(insert_if_absent(existing, new, key), lambda f: f.write.mode("append").parquet(path))
 
 

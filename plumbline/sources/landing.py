@@ -140,7 +140,7 @@ def read_json_group(spark: SparkSession, paths: list[str], shape: str) -> DataFr
     placed = _placed(raw.select("records", "_metadata"))
     return (
         placed.select(F.posexplode("records"), *FILE_ORDER)
-        .withColumn("_row_rank", F.col("_row_rank") * F.lit(1 << 32) + F.col("pos"))
+        .withColumn("_row_rank", F.col("pos").cast("bigint"))  # one document a file
         .select("col.*", *FILE_ORDER)
     )
 
@@ -181,6 +181,12 @@ def read_landing(spark: SparkSession, glob: str) -> list[FileGroup]:
     return groups
 
 
+def empty_rows(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Landing rows of a source that has no files: its contracted columns as text, and no rows."""
+    columns = [f"`{column}` string" for column in spec.schema]
+    return spark.createDataFrame([], ", ".join([*columns, "_source_file string", "_block_start bigint", "_row_rank bigint"]))
+
+
 def union_groups(groups: list[FileGroup]) -> DataFrame:
     """One frame over all groups under normalised names; columns a file lacks are NULL."""
     frames = []

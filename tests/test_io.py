@@ -28,9 +28,9 @@ def test_files_with_different_headers_do_not_mix(spark, tmp_path):
     groups = landing.read_landing(spark, f"{root}/ecommerce_transactions/*")
     assert [len(g.columns) for g in groups] == [8, 9]
     rows = {r.transaction_id or r.order_id: r for r in landing.union_groups(groups).collect()}
-    assert rows["T1001"].amount == "129.50" and rows["T1001"].order_value is None
-    assert rows["T1005"].order_value == "249.99" and rows["T1005"].coupon_code == "SPRING20"
-    assert rows["T1005"]._source_file == "orders_2026_05_10_schema_v2.csv"
+    assert rows["N2101"].amount == "84.25" and rows["N2101"].order_value is None
+    assert rows["N2105"].order_value == "18.40" and rows["N2105"].coupon_code == "TWENTY"
+    assert rows["N2105"]._source_file == "orders_0507_v2.csv"
 
 
 def test_quoted_header_and_values(spark, tmp_path):
@@ -57,6 +57,15 @@ def test_json_shapes(spark, tmp_path, text):
     assert [tuple(r) for r in rows] == [("1", "true"), ("2", None)]
 
 
+@pytest.mark.parametrize("shape", ["%s", '{"records": %s}'])
+def test_several_json_documents(spark, tmp_path, shape):
+    for file in "xyz":
+        put(f"{tmp_path}/a/{file}.json", shape % json.dumps([{"a": f"{file}{i}"} for i in range(3)]))
+    (group,) = landing.read_landing(spark, f"{tmp_path}/a/*")
+    rows = group.rows.orderBy(*landing.FILE_ORDER).collect()
+    assert [(r.a, r._source_file) for r in rows] == [(f"{file}{i}", f"{file}.json") for file in "xyz" for i in range(3)]
+
+
 def test_json_of_another_shape_raises(spark, tmp_path):
     put(f"{tmp_path}/a/x.json", '{"rows": 1}')
     with pytest.raises(ValueError, match="Unsupported JSON shape"):
