@@ -39,9 +39,12 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, h, idx, pos, line id, words before, and the shortest long enough runs that begin and end at each line."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("line"))),
                      lambda x: F.btrim(x["line"], F.lit(BLANKS)) != "")
-    rows = (docs.filter("text is not null").select(_id(docs).alias("doc_id"), F.xxhash64("text").alias("h"), F.posexplode_outer(lines).alias("idx", "x")).filter("x is not null")
-            .select(*DOC, "idx", "x.pos", F.xxhash64("x.line").alias("line"),
-                    F.size(F.split(F.btrim("x.line", F.lit(BLANKS)), SPACE_RUN)).cast("long").alias("nw")))
+    facts = F.transform(lines, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["line"]).alias("line"),
+                                                  F.size(F.split(F.btrim(x["line"], F.lit(BLANKS)), SPACE_RUN)).cast("long").alias("nw")))
+    # equal rows are one document; grouped as the windows are partitioned, so the rows move once
+    single = (docs.filter("text is not null").select(_id(docs).alias("doc_id"), F.xxhash64("text").alias("h"), facts.alias("lines"))
+              .groupBy(*DOC).agg(F.first("lines").alias("lines")))
+    rows = single.select(*DOC, F.posexplode_outer("lines").alias("idx", "x")).filter("x is not null").select(*DOC, "idx", "x.*")
     ordered = Window.partitionBy(*DOC).orderBy("idx")
     rows = rows.withColumn("end", F.sum("nw").over(ordered.rangeBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("begin", F.col("end") - F.col("nw"))

@@ -64,6 +64,15 @@ def test_line_dedup_matches_brute_force(docs, rows):
     assert any(expected.values())
 
 
+def test_line_dedup_counts_words_of_a_repeated_row_once(spark):
+    """Equal rows are one document: runs are not cut shorter in it, and a shared run under 30 words stays."""
+    passage, short = [words(12) for _ in range(5)], "\n".join([words(10), words(10)])
+    data = [(1, "\n".join([words(12), *passage])), (2, "\n".join([*passage, words(12)])), (3, short + "\n" + words(40)), (4, short + "\n" + words(50))]
+    frame = spark.createDataFrame([*data, data[0], data[2], data[2], data[3]], "doc_id bigint, text string")
+    got = Counter((r["doc_id"], r["text"], r["_removed"]) for r in line_dedup.dedup_lines(frame, 30).collect())
+    assert got == Counter({(1, data[0][1], 0): 2, (2, data[1][1].split("\n")[-1], 5): 1, (3, data[2][1], 0): 3, (4, data[3][1], 0): 2})
+
+
 def test_line_dedup_keeps_rows_and_columns(docs, spark):
     out = line_dedup.dedup_lines(docs)
     assert out.columns == [*docs.columns, "_removed"] and out.count() == docs.count()
