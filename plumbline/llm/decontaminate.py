@@ -6,7 +6,9 @@ the benchmark items, so a question whose numbers or names were changed still mee
 slots are consistent along its diagonal (document place minus item place): each value of the item stands for one
 value of the document and the other way round. A document is contaminated by an item if consistent windows on
 one diagonal cover at least ``min_share`` of the item's tokens or ``min_run`` tokens. Items shorter than a window are
-matched whole. Windows in which less than half of the tokens are literal tell nothing and are left out.
+matched whole. The template of a window in which less than half of the tokens are literal tells nothing, so such windows
+are matched by the values of their slots as well, that is as exact copies. An item's first token is read both as the start of
+a text and as the middle of one, as it may be a name or a unit there.
 
 Numbers are digits with separators; units are the words of UNITS right after a number; names are capitalised words in
 the middle of a sentence. The characters U+0001 to U+0003 in a text act as slots themselves. Null, empty and blank texts match nothing, and an item without tokens matches no document.
@@ -52,9 +54,14 @@ def _windows(df: DataFrame, width: int) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int) -> DataFrame:
-    """item_id, n_item, width, ipos, hash, islots: windows of the items; ``islots`` are the slots inside."""
-    items = with_template(benchmark.select("item_id", "text").filter("item_id is not null")).withColumn("n_item", F.size("_tokens"))
-    items = save(items.filter("n_item > 0").dropDuplicates(["item_id", "text"]), "benchmark-tokens")
+    """item_id, n_item, width, ipos, hash, key, islots: windows of the items; ``islots`` are the slots inside."""
+    texts = benchmark.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
+    alone = with_template(texts)
+    # after a number the first word is a unit or a name if it can be one; the number itself goes again
+    within = with_template(texts.withColumn("text", F.concat(F.lit("1 "), "text")))
+    within = within.withColumns({c: F.expr(f"slice({c}, 2, greatest(size({c}) - 1, 0))") for c in ("_tokens", "_template")})
+    items = alone.unionByName(within).withColumn("n_item", F.size("_tokens")).filter("n_item > 0")
+    items = save(items.drop("text").distinct(), "benchmark-tokens")
     shorter = sorted(r[0] for r in items.filter(F.col("n_item") < width).select("n_item").distinct().collect())
     out = None
     for size in [*shorter, width]:
@@ -64,12 +71,17 @@ def benchmark_windows(benchmark: DataFrame, width: int) -> DataFrame:
         own = own.withColumn("islots", F.filter("part", lambda t: t < "\x04"))
         own = own.select("item_id", "n_item", "width", "ipos", "hash", "islots")
         out = own if out is None else out.unionByName(own)
-    return save(out, "benchmark-windows").filter((F.size("islots") * 2 <= F.col("width")) & F.col("hash").isNotNull()).distinct()
+    return save(out, "benchmark-windows").filter("hash is not null").withColumn("key", _key("islots", F.col("width"))).distinct()
 
 
-def _bits(windows: DataFrame) -> Column:
+def _key(slots: str, width: Column) -> Column:
+    """What windows are joined by: the template's hash, with the values of the slots where these are more than half."""
+    return F.when(F.size(slots) * 2 > width, F.xxhash64("hash", slots)).otherwise(F.col("hash"))
+
+
+def _bits(windows: DataFrame, column: str) -> Column:
     """A constant bitmap of the item windows' hashes, 2^17 bits whatever their number: it spares rows, never decides."""
-    at = F.pmod("hash", F.lit(1 << FILTER_BITS))
+    at = F.pmod(column, F.lit(1 << FILTER_BITS))
     words = windows.groupBy(F.floor(at / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))).alias("b"))
     bitmap = [0] * (1 << (FILTER_BITS - 6))
     for r in words.collect():
@@ -77,6 +89,11 @@ def _bits(windows: DataFrame) -> Column:
     return F.lit(np.array(bitmap, dtype=np.int64))
 
 
+def _in(bitmap: Column, value: Column) -> Column:
+    at = F.pmod(value, F.lit(1 << FILTER_BITS))
+    return F.call_function("shiftright", F.get(bitmap, F.floor(at / 64).cast("int")), F.pmod(at, F.lit(64)).cast("int")).bitwiseAND(1) == 1
+
+
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_share: float = 0.5, min_run: int = 16) -> DataFrame:
     """doc_id, h (hash of the text), item_id, diagonal, n_item, covered, slots: one row for each document and item."""
     windows = benchmark_windows(benchmark, width)
@@ -85,22 +102,22 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = 8, mi
     hits = None
     # the outer forms of explode: the others add a filter that repeats the arrays' expressions inside each other
     for size in sizes:
-        bitmap = _bits(windows.filter(F.col("width") == size))
+        own = windows.filter(F.col("width") == size)
+        bitmap, keys = _bits(own, "hash"), _bits(own, "key")
         rows = _windows(texts, size)
-        at = lambda i: F.pmod(F.get("_windows", i), F.lit(1 << FILTER_BITS))
-        found = F.filter(F.sequence(F.lit(0), F.size("_windows") - 1), lambda i: F.call_function(
-            "shiftright", F.get(bitmap, F.floor(at(i) / 64).cast("int")), F.pmod(at(i), F.lit(64)).cast("int")).bitwiseAND(1) == 1)
+        found = F.filter(F.sequence(F.lit(0), F.size("_windows") - 1), lambda i: _in(bitmap, F.get("_windows", i)))
         rows = rows.withColumn("_found", F.when(F.size("_windows") > 0, found))
         rows = rows.select("doc_id", "h", F.explode_outer(F.transform("_found", lambda i: F.struct(
             i.alias("pos"), F.get("_windows", i).alias("hash"),
             F.filter(F.slice("_tokens", i + 1, size), lambda t: t < "\x04").alias("slots")))).alias("x")).select("doc_id", "h", "x.*")
-        rows = rows.filter("hash is not null").withColumn("width", F.lit(size))
+        rows = rows.filter("hash is not null").withColumn("width", F.lit(size)).withColumn("key", _key("slots", F.lit(size)))
+        rows = rows.filter(_in(keys, F.col("key"))).drop("hash")
         hits = rows if hits is None else hits.unionByName(rows)
     if hits is None:
         return (docs.select("doc_id", F.xxhash64("text").alias("h")).crossJoin(windows.select("item_id", "n_item").limit(0)).filter("false")
                 .withColumns({"diagonal": F.lit(0), "covered": F.lit(0), "slots": F.lit(0)}))
     hits = save(hits, "decontamination-hits").distinct()
-    matched = hits.join(windows, ["width", "hash"]).withColumn("diagonal", F.col("pos") - F.col("ipos"))
+    matched = hits.join(windows.drop("hash"), ["width", "key"]).withColumn("diagonal", F.col("pos") - F.col("ipos"))
     matched = matched.filter(F.size("slots") == F.size("islots"))
     pair = ["doc_id", "h", "item_id", "n_item", "width", "diagonal"]
     # on one diagonal there are at most as many windows as the item has tokens

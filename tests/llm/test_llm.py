@@ -140,6 +140,21 @@ def test_decontamination_catches_other_numbers_and_names(spark):
     assert decontaminate.contaminated_pairs(frame.filter("false"), bench).count() == 0
 
 
+def test_decontamination_finds_copies_that_are_mostly_slots(spark):
+    """Exact copies of tables and lists of names count, other values in the same template do not."""
+    numbers = "12 7 31 5 88 2 46 19 3 77 10 64"
+    names = "Paris, London, Rome, Madrid, Vienna, Prague, Berlin, Oslo, Dublin, Lisbon"
+    short = "3 4 5"
+    data = [(1, words(30) + " " + numbers + " " + words(30)), (2, words(30) + " " + names + " " + words(5)), (3, "see 3 4 5 there"),
+            (4, words(30) + " 13 8 32 6 89 1 47 20 4 78 11 65 " + words(5)), (5, "see " + names.replace("London", "Bern").replace("Oslo", "Kyiv")),
+            (6, names)]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, numbers), (2, names), (3, short)], "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated_pairs(frame, bench).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (6, 2)}
+    assert {r["doc_id"] for r in decontaminate.remove_contaminated(frame, bench).collect()} == {4, 5}
+
+
 def test_decontamination_needs_consistent_slots(spark):
     item = "first take 3 steps to the left then take 3 steps to the right then take 3 steps back again"
     good, bad = item.replace("3", "8"), item.replace("3", "8", 1)
