@@ -2,10 +2,12 @@
 
 Texts become token sequences in which numbers, names and units are slots: the token keeps its value behind a marker,
 the template keeps the marker alone. Windows of ``width`` template tokens are hashed and equi-joined with those of
-the benchmark items, so a question whose numbers or names were changed still meets its item. A match counts only if the
-slots are consistent along its diagonal (document place minus item place): each value of the item stands for one
-value of the document and the other way round. A document is contaminated by an item if consistent windows on
-one diagonal cover at least ``min_share`` of the item's tokens or ``min_run`` tokens. Items shorter than a window are
+the benchmark items, so a question whose numbers or names were changed still meets its item. Windows are counted along a
+diagonal (document place minus item place), and along it with the ``width`` diagonals after it, as a longer name or an
+inserted word moves the rest. If each value of the item stands for one value of the document there, a document is
+contaminated if the windows cover at least ``min_share`` of the item's tokens or ``min_run`` tokens. If some value
+stands for two, only windows count whose slots all are equal or all have the commonest document value, and they must
+cover ``min_run`` tokens that are no slots. Items shorter than a window are
 matched whole. The template of a window in which less than half of the tokens are literal tells nothing, so such windows
 are matched by the values of their slots as well, that is as exact copies. An item's first token is read both as the start of
 a text and as the middle of one, as it may be a name or a unit there.
@@ -21,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.llm.common import save, with_window_hashes
 
@@ -54,7 +57,7 @@ def _windows(df: DataFrame, width: int) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int) -> DataFrame:
-    """item_id, n_item, width, ipos, hash, key, islots: windows of the items; ``islots`` are the slots inside."""
+    """item_id, n_item, width, ipos, hash, key, islots, iat: windows of the items; ``islots`` are the slots inside, ``iat`` their places."""
     texts = benchmark.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
     alone = with_template(texts)
     # after a number the first word is a unit or a name if it can be one; the number itself goes again
@@ -69,7 +72,8 @@ def benchmark_windows(benchmark: DataFrame, width: int) -> DataFrame:
         own = _windows(own, size).select("item_id", "n_item", "_tokens", F.lit(size).alias("width"), F.posexplode_outer("_windows").alias("ipos", "hash"))
         own = own.withColumn("part", F.slice("_tokens", F.col("ipos") + 1, size))
         own = own.withColumn("islots", F.filter("part", lambda t: t < "\x04"))
-        own = own.select("item_id", "n_item", "width", "ipos", "hash", "islots")
+        own = own.withColumn("iat", F.filter(F.transform("part", lambda t, i: F.when(t < "\x04", F.col("ipos") + i)), lambda i: i.isNotNull()))
+        own = own.select("item_id", "n_item", "width", "ipos", "hash", "islots", "iat")
         out = own if out is None else out.unionByName(own)
     return save(out, "benchmark-windows").filter("hash is not null").withColumn("key", _key("islots", F.col("width"))).distinct()
 
@@ -119,18 +123,36 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = 8, mi
     hits = save(hits, "decontamination-hits").distinct()
     matched = hits.join(windows.drop("hash"), ["width", "key"]).withColumn("diagonal", F.col("pos") - F.col("ipos"))
     matched = matched.filter(F.size("slots") == F.size("islots"))
-    pair = ["doc_id", "h", "item_id", "n_item", "width", "diagonal"]
-    # on one diagonal there are at most as many windows as the item has tokens
-    lanes = matched.groupBy(*pair).agg(F.array_sort(F.collect_set("ipos")).alias("at"), F.array_distinct(F.flatten(F.collect_list(
-        F.arrays_zip("islots", "slots")))).alias("map"))
-    covered = F.aggregate("at", F.struct(F.lit(0).alias("n"), F.lit(-1_000_000).alias("last")), lambda a, p: F.struct(
-        (a["n"] + F.least(F.col("width"), p - a["last"])).alias("n"), p.alias("last")))["n"]
-    one_to_one = ((F.size("map") == F.size(F.array_distinct(F.transform("map", lambda x: x["islots"]))))
-                  & (F.size("map") == F.size(F.array_distinct(F.transform("map", lambda x: x["slots"])))))
-    lanes = lanes.withColumn("covered", covered).filter(one_to_one)
-    lanes = lanes.filter((F.col("covered") >= F.col("n_item") * min_share) | (F.col("covered") >= min_run))
-    best = F.max_by(F.struct("diagonal", "n_item", "covered", F.size("map").alias("slots")), F.struct("covered", -F.col("diagonal")))
-    return lanes.groupBy("doc_id", "h", "item_id").agg(best.alias("b")).select("doc_id", "h", "item_id", "b.*")
+    pair = ["doc_id", "h", "item_id"]
+    lane = [*pair, "n_item", "width"]
+    pairs = F.when(F.size("islots") * 2 > F.col("width"), F.array().cast("array<struct<islots:string,slots:string>>")).otherwise(F.arrays_zip("islots", "slots"))
+    # on one diagonal there are at most as many windows as the item has tokens; one exchange serves all groups
+    lanes = (matched.select(*lane, "diagonal", F.struct("ipos", "iat", pairs.alias("map")).alias("w")).repartition(*pair)
+             .groupBy(*lane, "diagonal").agg(F.collect_set("w").alias("own")))
+    near = Window.partitionBy(*lane).orderBy("diagonal").rangeBetween(0, width)
+    lanes = lanes.withColumn("band", F.flatten(F.collect_list("own").over(near)))
+    for name in ("own", "band"):
+        lanes = lanes.withColumn(f"{name}_map", F.array_distinct(F.flatten(F.transform(name, lambda w: w["map"]))))
+        lanes = lanes.withColumn(f"{name}_at", F.array_sort(F.array_distinct(F.transform(name, lambda w: w["ipos"]))))
+        n = F.aggregate(f"{name}_at", F.struct(F.lit(0).alias("n"), F.lit(-1_000_000).alias("last")), lambda a, p: F.struct(
+            (a["n"] + F.least(F.col("width"), p - a["last"])).alias("n"), p.alias("last")))["n"]
+        single = F.size(f"{name}_map") == F.size(F.array_distinct(F.transform(f"{name}_map", lambda x: x["islots"])))
+        enough = (n >= F.col("n_item") * min_share) | (n >= min_run)
+        lanes = lanes.withColumn(f"{name}_n", F.when(single & enough, n)).drop(f"{name}_at")
+    conflict = F.size("band_map") > F.size(F.array_distinct(F.transform("band_map", lambda x: x["islots"])))
+    lanes = lanes.withColumn("votes", F.when(conflict, F.flatten(F.transform("band", lambda w: w["map"]))))
+    commonest = F.transform(F.array_distinct(F.transform("votes", lambda x: x["islots"])), lambda v: F.array_max(F.transform(
+        F.filter("band_map", lambda x: x["islots"] == v),
+        lambda c: F.struct(F.size(F.filter("votes", lambda x: x == c)).alias("n"), c.alias("pair"))))["pair"])
+    lanes = lanes.withColumn("chosen", commonest)
+    lanes = lanes.withColumn("kept", F.when(conflict, F.filter("band", lambda w: F.forall(w["map"], lambda x: x["islots"] == x["slots"])
+                                                               | F.forall(w["map"], lambda x: F.array_contains("chosen", x)))))
+    lanes = lanes.withColumn("places", F.array_distinct(F.flatten(F.transform("kept", lambda w: F.sequence(w["ipos"], w["ipos"] + F.col("width") - 1)))))
+    lanes = lanes.withColumn("literal", F.size(F.array_except("places", F.flatten(F.transform("kept", lambda w: w["iat"])))))
+    lanes = lanes.withColumn("covered", F.greatest("own_n", "band_n", F.when(conflict & (F.col("literal") >= min_run), F.size("places"))))
+    lanes = lanes.filter("covered is not null")
+    best = F.max_by(F.struct("diagonal", "n_item", "covered", F.size("band_map").alias("slots")), F.struct("covered", -F.col("diagonal")))
+    return lanes.groupBy(*pair).agg(best.alias("b")).select(*pair, "b.*")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:

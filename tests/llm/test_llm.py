@@ -127,6 +127,23 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_decontamination_counts_the_consistent_part(spark):
+    """One changed occurrence of a repeated number, two values made equal, a longer name and an inserted word."""
+    parts = [words(9) for _ in range(20)]
+    long = " 3 ".join(parts)
+    changed = " 3 ".join(parts[:10]) + " 4 " + " 3 ".join(parts[10:])
+    apples = "Every day the boy eats 5 apples and the girl eats 6 pears before they both walk home"
+    split = "yesterday at noon old farmer named Tom went over the river to buy bread"
+    wordy = "many people think that seven small red birds live inside that hollow tree"
+    data = [(1, words(20) + " . " + changed), (2, apples.replace("5", "7").replace("6", "7")), (3, split.replace("Tom", "Ann Lee")),
+            (4, wordy.replace("red birds", "red happy birds")), (5, words(50))]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, long), (2, apples), (3, split), (4, wordy)], "item_id bigint, text string")
+    for share in (0.5, 0.99):
+        found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated_pairs(frame, bench, width=4, min_share=share).collect()}
+        assert found == ({(1, 1), (2, 2), (3, 3), (4, 4)} if share == 0.5 else {(1, 1), (2, 2), (4, 4)})
+
+
 def test_decontamination_catches_other_numbers_and_names(spark):
     item = "A farmer named Tom sells 12 apples and 30 pears at the market for 5 dollars each and then walks home"
     other = "A farmer named Ann sells 77 apples and 81 pears at the market for 9 dollars each and then walks home"
