@@ -1,11 +1,11 @@
 """Language identification by words first, and by ever shorter character n-grams for unseen words.
 
-Training counts words per language over all labelled texts. The ``max_words`` most frequent words form the
-known vocabulary; n-grams of one to four letters (with word ends) come from all counted words, ``max_grams`` of each
-length. Both bounds are parameters of the model, which is therefore small enough to broadcast. A text is scored
-word by word: a known word by its smoothed log frequency in each language, an unseen word by the longest n-grams of it
-that are known, shorter ones only where no longer one is. The summed scores and the languages' log shares of
-training words give a posterior.
+Training counts words per language over all labelled texts, and n-grams of one to four letters (with word ends) of all
+counted words. All counts stay tables. ``max_words``, shared by the languages, bounds only what is broadcast: each
+language's most frequent words are scored where the text is read, all others are joined to the tables, each distinct word once.
+A text is scored word by word: a counted word by its smoothed log frequency in each language, an unseen word by the
+longest n-grams of it that were counted, shorter ones only where no longer one was. The summed scores and the languages' log
+shares of training words give a posterior.
 
 Null text, or one without letters: ``und`` with score 0. Null language: not learned from. Ties go to the smaller
 language name. Without training rows everything is ``und``. Repeated rows count as often as they stand there; empty
@@ -18,12 +18,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from plumbline.llm.common import save
 
@@ -108,121 +108,114 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @dataclass
 class LanguageModel:
     langs: list[str]
-    prior: np.ndarray
-    words: dict[str, np.ndarray]  # log frequency per language
-    grams: list[dict[str, np.ndarray]]  # by length, shortest first
-
-    def __post_init__(self) -> None:
-        """All vectors in one table, the zero vector first; words and n-grams point into it."""
-        tables = [self.words, *self.grams]
-        vectors = [v for t in tables for v in t.values()]
-        self.table = np.vstack([np.zeros((1, len(self.langs))), *vectors]) if vectors else np.zeros((1, len(self.langs)))
-        starts = np.cumsum([1, *map(len, tables)])
-        self.rows = [{k: int(start) + i for i, k in enumerate(t)} for start, t in zip(starts, tables)]
-
-    def backoff(self, word: str) -> tuple[list[int], float]:
-        """Table rows of an unseen word, by its longest known n-grams, and the weight of each."""
-        marked = f"^{word}$"
-        for size in range(LONGEST, 0, -1):
-            source, rows = marked if size > 1 else word, self.rows[size]
-            found = [r for i in range(len(source) - size + 1) if (r := rows.get(source[i:i + size]))]
-            if found:
-                return found, BACKOFF ** (LONGEST + 1 - size) / len(found)
-        return [0], 0.0
-
-    def token_scores(self, tokens: list[str]) -> np.ndarray:
-        """One vector a token: the sum over the words in it. Tokens without letters have the zero vector."""
-        rows, weights, sizes, known = [], [], [], self.rows[0]
-        for token in tokens:
-            before = len(rows)
-            for word in words_in(token):
-                row = known.get(word)
-                if row is not None:
-                    rows.append(row)
-                    weights.append(1.0)
-                else:
-                    found, weight = self.backoff(word)
-                    rows += found
-                    weights += [weight] * len(found)
-            if len(rows) == before:
-                rows.append(0)
-                weights.append(0.0)
-            sizes.append(len(rows) - before)
-        if not tokens:
-            return np.zeros((0, len(self.langs)))
-        starts = np.cumsum([0, *sizes[:-1]])
-        return np.add.reduceat(self.table[rows] * np.array(weights)[:, None], starts, axis=0)
-
-
-def _log_table(rows: list, key: str, langs: list[str]) -> dict[str, np.ndarray]:
-    """Log of add-half smoothed shares in each language."""
-    place, counts = {lang: i for i, lang in enumerate(langs)}, {}
-    for r in rows:
-        counts.setdefault(r[key], np.zeros(len(langs)))[place[r["lang"]]] += r["n"]
-    if not counts:
-        return {}
-    total = np.sum(list(counts.values()), axis=0) + 0.5 * len(counts)
-    return {k: np.log((v + 0.5) / total) for k, v in counts.items()}
-
-
-def fit(docs: DataFrame, max_words: int = 30_000, max_grams: int = 20_000) -> LanguageModel:
-    """Counts over all rows with a text and a language. The model is bounded by the two parameters."""
+    prior: list[float]
+    near: dict[str, list[float]]  # log frequency per language of the most frequent words
+    words: DataFrame | None = None  # word, v: of all words
+    grams: dict[int, DataFrame] | None = None  # by length: gram, v
+
+
+def _vectors(counts: DataFrame, key: str, langs: list[str]) -> DataFrame:
+    """key, v: logs of add-half smoothed shares in each language, over all counted keys."""
+    total = counts.agg(F.count("*"), *[F.sum(F.get("c", F.lit(i))) for i in range(len(langs))]).first()
+    return counts.select(key, F.array(*[F.log((F.get("c", F.lit(i)) + 0.5) / ((total[i + 1] or 0) + 0.5 * total[0]))
+                                        for i in range(len(langs))]).alias("v"))
+
+
+def fit(docs: DataFrame, max_words: int = 30_000) -> LanguageModel:
+    """Counts over all rows with a text and a language; ``max_words`` bounds the words that are broadcast."""
     pairs = docs.filter("text is not null and lang is not null").select("text", "lang")
     counted = (pairs.mapInPandas(_count_words, "lang string, word string, n bigint")
                .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     words = save(counted, "language-words")
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
-    prior = np.log(np.array([totals[x] for x in langs], float) / max(sum(totals.values()), 1)) if langs else np.zeros(0)
-    top = words.groupBy("word").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "word").limit(max_words)
-    known = words.join(F.broadcast(top.select("word")), "word").collect()
-    grams = (words.mapInPandas(_count_grams, "lang string, size int, gram string, n bigint")
-             .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
+    if not langs:
+        return LanguageModel([], [], {})
+    prior = [float(np.log(totals[x] / max(sum(totals.values()), 1))) for x in langs]
+    by_lang = F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]).alias("c")
+    vectors = _vectors(save(words.groupBy("word").agg(by_lang), "language-word-counts"), "word", langs)
+    # a limit for each language, as a window over languages would put one into a task
+    tops = [words.filter(F.col("lang") == x).orderBy(F.desc("n"), "word").limit(max_words // len(langs)).select("word") for x in langs]
+    top = reduce(DataFrame.unionByName, tops).distinct()
+    near = {r["word"]: r["v"] for r in vectors.join(F.broadcast(top), "word").collect()}
+    grams = words.mapInPandas(_count_grams, "lang string, size int, gram string, n bigint").groupBy("size", "gram").agg(by_lang)
     grams = save(grams, "language-grams")
-    by_size = []
-    for size in range(1, LONGEST + 1):
-        own = grams.filter(F.col("size") == size)
-        top = own.groupBy("gram").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "gram").limit(max_grams)
-        by_size.append(_log_table(own.join(F.broadcast(top.select("gram")), "gram").collect(), "gram", langs))
-    return LanguageModel(langs, prior, _log_table(known, "word", langs), by_size)
+    return LanguageModel(langs, prior, near, vectors,
+                         {size: _vectors(grams.filter(F.col("size") == size), "gram", langs) for size in range(1, LONGEST + 1)})
+
+
+def _scored_words(words: DataFrame, model: LanguageModel) -> DataFrame:
+    """word, v for distinct words: counted ones by their own vector, others by their longest counted n-grams."""
+    found = save(words.join(model.words, "word", "left"), "language-found")
+    out, pending = found.filter("v is not null"), found.filter("v is null").select("word")
+    for size in range(LONGEST, 0, -1):
+        marked = F.concat(F.lit("^"), "word", F.lit("$")) if size > 1 else F.col("word")
+        last = F.length(marked) - (size - 1)
+        pieces = pending.filter(last > 0).select("word", F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(marked, i, F.lit(size)))).alias("gram"))
+        weight = F.lit(BACKOFF ** (LONGEST + 1 - size)) / F.count("*")
+        hits = pieces.join(model.grams[size], "gram").groupBy("word").agg(
+            F.array(*[F.sum(F.get("v", F.lit(i))) * weight for i in range(len(model.langs))]).alias("v"))
+        hits = save(hits, "language-backoff")
+        out, pending = out.unionByName(hits), pending.join(hits.select("word"), "word", "left_anti")
+    return out
 
 
 def predict(docs: DataFrame, model: LanguageModel, cache_tokens: int = 300_000) -> DataFrame:
     """doc_id, lang_pred, score for every row; texts are read whole."""
+    size = len(model.langs)
+    if not size:
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     # plain containers: a broadcast value is unpickled by name
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prior, model.words, model.grams))
+    shared = docs.sparkSession.sparkContext.broadcast(model.near)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = LanguageModel(*shared.value)
+        near = {k: np.array(v) for k, v in shared.value.items()}
         place: dict[str, int] = {}
-        vectors = np.zeros((0, len(m.langs)))
+        others: dict[str, list[str]] = {}  # words of a token that are not broadcast
+        vectors = np.zeros((0, size))
 
-        def total(tokens: list[str]) -> np.ndarray:
+        def total(tokens: list[str], rest: Counter) -> np.ndarray:
             nonlocal vectors
             new = [t for t in dict.fromkeys(tokens) if t not in place]
             if len(place) + len(new) > cache_tokens:
                 place.clear()
+                others.clear()
                 new, vectors = list(dict.fromkeys(tokens)), vectors[:0]
-            if new:
-                place.update(zip(new, range(len(place), len(place) + len(new))))
-                if len(place) > len(vectors):
-                    grown = np.zeros((max(2 * len(place), 1024), len(m.langs)))
-                    grown[:len(vectors)] = vectors
-                    vectors = grown
-                vectors[len(place) - len(new):len(place)] = m.token_scores(new)
+            if len(place) + len(new) > len(vectors):
+                grown = np.zeros((max(2 * (len(place) + len(new)), 1024), size))
+                grown[:len(vectors)] = vectors
+                vectors = grown
+            for token in new:
+                vector = np.zeros(size)
+                for word in words_in(token):
+                    if word in near:
+                        vector = vector + near[word]
+                    else:
+                        others.setdefault(token, []).append(word)
+                vectors[len(place)] = vector
+                place[token] = len(place)
+            for token in tokens:
+                if token in others:
+                    rest.update(others[token])
             return vectors[np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))].sum(axis=0)
 
         for batch in batches:
             found = []
             for text in batch["text"]:
-                tokens = text.lower().split() if text is not None and m.langs else []
-                sums = sum((total(tokens[lo:lo + 50_000]) for lo in range(0, len(tokens), 50_000)), np.zeros(len(m.langs)))
-                if not sums.any() and not any(map(words_in, tokens)):
-                    found.append(("und", 0.0))
-                    continue
-                share = np.exp(sums + m.prior - (sums + m.prior).max())
-                best = int(np.argmax(share))
-                found.append((m.langs[best], float(share[best] / share.sum())))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": plain([f[0] for f in found]), "score": [f[1] for f in found]})
-
-    return docs.select("doc_id", "text").mapInPandas(score, "doc_id bigint, lang_pred string, score double")
+                tokens, rest = text.lower().split() if text is not None else [], Counter()
+                sums = sum((total(tokens[lo:lo + 50_000], rest) for lo in range(0, len(tokens), 50_000)), np.zeros(size))
+                letters = bool(rest) or bool(sums.any()) or any(map(words_in, tokens))
+                found.append((sums.tolist(), letters, list(rest), list(rest.values())))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], **{c: plain([f[i] for f in found]) for i, c in enumerate(("sums", "letters", "rest", "times"))}})
+
+    read = docs.select("doc_id", "text").mapInPandas(score, "doc_id bigint, sums array<double>, letters boolean, rest array<string>, times array<bigint>")
+    read = save(read.withColumn("row", F.monotonically_increasing_id()), "language-read")
+    rest = read.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))
+    scored = _scored_words(rest.select("word").distinct(), model)
+    joined = rest.join(scored, "word").groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.get("v", F.lit(i))) for i in range(size)]).alias("more"))
+    out = read.select("row", "doc_id", "sums", "letters").join(joined, "row", "left")
+    out = out.withColumn("all", F.array(*[F.get("sums", F.lit(i)) + F.coalesce(F.get("more", F.lit(i)), F.lit(0.0)) + model.prior[i] for i in range(size)]))
+    out = out.withColumn("most", F.array_max("all"))
+    share = 1 / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("most")))
+    name = F.element_at(F.array(*map(F.lit, model.langs)), F.array_position("all", F.col("most")).cast("int"))
+    return out.select("doc_id", F.when(F.col("letters"), name).otherwise("und").alias("lang_pred"), F.when(F.col("letters"), share).otherwise(0.0).alias("score"))

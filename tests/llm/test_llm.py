@@ -191,6 +191,22 @@ def test_language_id(docs, spark):
     assert {r["lang_pred"] for r in language_id.predict(docs, language_id.fit(docs.filter("false"))).collect()} == {"und"}
 
 
+def test_language_id_counts_every_word(spark):
+    """What is broadcast changes no score, and a rare language keeps its words."""
+    big, small = [words(60) for _ in range(30)], ["zorn plim quax " + " ".join(f"w{'abcdefghij'[i]}{'klmnopqrst'[j]}x" for j in range(10)) for i in range(10)]
+    train = [(i, t, "aa") for i, t in enumerate(big)] + [(100 + i, t, "bb") for i, t in enumerate(small)]
+    frame = spark.createDataFrame(train, "doc_id bigint, text string, lang string")
+    ask = spark.createDataFrame([(1, "wakx wjtx"), (2, "zorn abba"), (3, big[3]), (3, big[3]), (4, "123"), (5, None)], "doc_id bigint, text string")
+    few = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, max_words=4)).collect())
+    all_ = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, max_words=10_000)).collect())
+    assert few == all_ and len(few) == 6 and few[0][1] == "bb" and few[-2:] == [(4, "und", 0.0), (5, "und", 0.0)]
+    counts = {lang: Counter(w for _, t, x in train if x == lang for w in t.split()) for lang in ("aa", "bb")}
+    vocabulary = len(set().union(*counts.values()))
+    sums = [sum(math.log((counts[x][w] + 0.5) / (sum(counts[x].values()) + 0.5 * vocabulary)) for w in ("wakx", "wjtx")) + math.log(sum(counts[x].values()))
+            for x in ("aa", "bb")]
+    assert few[0][2] == pytest.approx(1 / (1 + math.exp(sums[0] - sums[1])), abs=1e-8)
+
+
 def test_language_model_matches_brute_force(docs, rows):
     out = language_model.score(docs, F.coalesce(F.col("doc_id") % 3, F.lit(0)) != 2)
     tokens = [(r[1] or "").encode().lower().split() + [b""] for r in rows]
