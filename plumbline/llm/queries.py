@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, jaccard_join, language_id, language_model, line_dedup, quality_classifier, quality_rules, sentencepiece_codec, sharding
-from plumbline.llm.common import fold, table
+from plumbline.llm import (ann_search, chat, decontaminate, fill_in_middle, jaccard_join, language_id, language_model, line_dedup, periodic_runs,
+                           quality_classifier, quality_rules, sentencepiece_codec, sharding)
+from plumbline.llm.common import fold, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +105,35 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = language_model.score(docs, fold(F.col("doc_id"), 7) != 2)
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The texts that the contract asks for: in every tenth document the words from some place on repeat with some period."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = docs.withColumn("_w", F.when(hashed % 10 == 0, words_of(F.col("text"))))
+    n, g = F.size("_w"), F.floor(hashed / 10)
+    planted = (words.withColumn("_a", (g % n).cast("int")).withColumn("_p", (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int")))
+    again = F.transform("_w", lambda w, i: F.when(i < F.col("_a"), w).otherwise(F.get("_w", F.col("_a") + (i - F.col("_a")) % F.col("_p"))))
+    return planted.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")), 12)
+    # the longest; of equal lengths the one that starts first, then the shorter period
+    best = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period")))), 0)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_best.start").alias("start"), (-F.col("_best.length")).alias("length"),
+        F.col("_best.period").alias("period"), F.expr("-_best.length * 1000 div _best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
