@@ -1,8 +1,8 @@
 """Language identification by words first, and by ever shorter character n-grams for unseen words.
 
 Training counts words per language over all labelled texts, and n-grams of one to four letters (with word ends) of all
-counted words. All counts stay tables. ``max_words``, shared by the languages, bounds only what is broadcast: each
-language's most frequent words are scored where the text is read, all others are joined to the tables, each distinct word once.
+counted words. All counts stay tables. ``near_mb`` bounds only what is broadcast: each language has an equal part of it for its
+most frequent words, which are scored where the text is read; all others are joined to the tables, each distinct word once.
 A text is scored word by word: a counted word by its smoothed log frequency in each language, an unseen word by the
 longest n-grams of it that were counted, shorter ones only where no longer one was. The summed scores and the languages' log
 shares of training words give a posterior.
@@ -18,7 +18,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -109,7 +108,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class LanguageModel:
     langs: list[str]
     prior: list[float]
-    near: dict[str, list[float]]  # log frequency per language of the most frequent words
+    near: tuple[list[str], np.ndarray]  # the most frequent words and their log frequencies, a row each
     words: DataFrame | None = None  # word, v: of all words
     grams: dict[int, DataFrame] | None = None  # by length: gram, v
 
@@ -121,8 +120,26 @@ def _vectors(counts: DataFrame, key: str, langs: list[str]) -> DataFrame:
                                         for i in range(len(langs))]).alias("v"))
 
 
-def fit(docs: DataFrame, max_words: int = 30_000) -> LanguageModel:
-    """Counts over all rows with a text and a language; ``max_words`` bounds the words that are broadcast."""
+def _frequent(words: DataFrame, langs: list[str], near_mb: float) -> DataFrame:
+    """The words of each language whose counts lie above a border, chosen from counts of counts: nothing is sorted.
+
+    A word takes about 64 bytes and a number for each language. Counts are in steps of a sixteenth of a doubling; a step that does not fit
+    whole stays out, and its words are joined like all others.
+    """
+    room = near_mb * 1e6 / len(langs) / (64 + 8 * len(langs))
+    step = F.floor(F.log2("n") * 16).alias("step")
+    border, taken = {}, Counter()
+    for r in words.groupBy("lang", step).count().orderBy(F.desc("step")).collect():
+        if border.get(r["lang"], (0, True))[1]:
+            taken[r["lang"]] += r["count"]
+            fits = taken[r["lang"]] <= room
+            border[r["lang"]] = (r["step"] if fits else r["step"] + 1, fits)
+    borders = words.sparkSession.createDataFrame([(x, int(at)) for x, (at, _) in border.items()], "lang string, border bigint")
+    return words.join(F.broadcast(borders), "lang").filter(step >= F.col("border")).select("word").distinct()
+
+
+def fit(docs: DataFrame, near_mb: float = 24) -> LanguageModel:
+    """Counts over all rows with a text and a language; ``near_mb`` bounds the words that are broadcast."""
     pairs = docs.filter("text is not null and lang is not null").select("text", "lang")
     counted = (pairs.mapInPandas(_count_words, "lang string, word string, n bigint")
                .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -130,14 +147,12 @@ def fit(docs: DataFrame, max_words: int = 30_000) -> LanguageModel:
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return LanguageModel([], [], {})
+        return LanguageModel([], [], ([], np.zeros((0, 0))))
     prior = [float(np.log(totals[x] / max(sum(totals.values()), 1))) for x in langs]
     by_lang = F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]).alias("c")
     vectors = _vectors(save(words.groupBy("word").agg(by_lang), "language-word-counts"), "word", langs)
-    # a limit for each language, as a window over languages would put one into a task
-    tops = [words.filter(F.col("lang") == x).orderBy(F.desc("n"), "word").limit(max_words // len(langs)).select("word") for x in langs]
-    top = reduce(DataFrame.unionByName, tops).distinct()
-    near = {r["word"]: r["v"] for r in vectors.join(F.broadcast(top), "word").collect()}
+    near = vectors.join(_frequent(words, langs, near_mb), "word").toArrow()
+    near = (near["word"].to_pylist(), near["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs)))
     grams = words.mapInPandas(_count_grams, "lang string, size int, gram string, n bigint").groupBy("size", "gram").agg(by_lang)
     grams = save(grams, "language-grams")
     return LanguageModel(langs, prior, near, vectors,
@@ -169,7 +184,8 @@ def predict(docs: DataFrame, model: LanguageModel, cache_tokens: int = 300_000)
     shared = docs.sparkSession.sparkContext.broadcast(model.near)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near = {k: np.array(v) for k, v in shared.value.items()}
+        known, logs = shared.value
+        near = dict(zip(known, range(len(known))))
         place: dict[str, int] = {}
         others: dict[str, list[str]] = {}  # words of a token that are not broadcast
         vectors = np.zeros((0, size))
@@ -189,7 +205,7 @@ def predict(docs: DataFrame, model: LanguageModel, cache_tokens: int = 300_000)
                 vector = np.zeros(size)
                 for word in words_in(token):
                     if word in near:
-                        vector = vector + near[word]
+                        vector = vector + logs[near[word]]
                     else:
                         others.setdefault(token, []).append(word)
                 vectors[len(place)] = vector

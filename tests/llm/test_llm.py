@@ -197,8 +197,8 @@ def test_language_id_counts_every_word(spark):
     train = [(i, t, "aa") for i, t in enumerate(big)] + [(100 + i, t, "bb") for i, t in enumerate(small)]
     frame = spark.createDataFrame(train, "doc_id bigint, text string, lang string")
     ask = spark.createDataFrame([(1, "wakx wjtx"), (2, "zorn abba"), (3, big[3]), (3, big[3]), (4, "123"), (5, None)], "doc_id bigint, text string")
-    few = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, max_words=4)).collect())
-    all_ = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, max_words=10_000)).collect())
+    few = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, near_mb=0.0004)).collect())
+    all_ = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(ask, language_id.fit(frame, near_mb=50)).collect())
     assert few == all_ and len(few) == 6 and few[0][1] == "bb" and few[-2:] == [(4, "und", 0.0), (5, "und", 0.0)]
     counts = {lang: Counter(w for _, t, x in train if x == lang for w in t.split()) for lang in ("aa", "bb")}
     vocabulary = len(set().union(*counts.values()))
@@ -273,6 +273,61 @@ def test_chat_round_trip_and_mask(spark):
     assert digest["n_turns"] == 2 and digest["loss_sha256"] == hashlib.sha256(b"\\### Assistant: </turn> ok").hexdigest()
 
 
+def _language_by_hand(train: list[tuple[str, str]], text: str) -> tuple[str, float]:
+    """Counted words first, then the longest counted n-grams of a word."""
+    langs = sorted({lang for _, lang in train})
+    count = {x: Counter(w for t, lang in train if lang == x for token in t.lower().split() for w in language_id.words_in(token)) for x in langs}
+    grams = {}
+    for size in range(1, 5):
+        for x in langs:
+            for word, n in count[x].items():
+                marked = f"^{word}$" if size > 1 else word
+                for i in range(len(marked) - size + 1):
+                    grams.setdefault(size, {}).setdefault(marked[i:i + size], Counter())[x] += n
+
+    def logs(table: dict, key: str) -> list[float]:
+        return [math.log((table[key][x] + 0.5) / (sum(c[x] for c in table.values()) + 0.5 * len(table))) for x in langs]
+
+    words = {}
+    for x in langs:
+        for w, n in count[x].items():
+            words.setdefault(w, Counter())[x] += n
+    total = sum(sum(c.values()) for c in count.values())
+    sums = [math.log(sum(count[x].values()) / total) for x in langs]
+    for token in text.lower().split():
+        for word in language_id.words_in(token):
+            if word in words:
+                v = logs(words, word)
+            else:
+                for size in range(4, 0, -1):
+                    marked = f"^{word}$" if size > 1 else word
+                    hits = [logs(grams[size], marked[i:i + size]) for i in range(len(marked) - size + 1) if marked[i:i + size] in grams[size]]
+                    if hits:
+                        v = [0.8 ** (5 - size) * sum(h[k] for h in hits) / len(hits) for k in range(len(langs))]
+                        break
+                else:
+                    v = [0.0] * len(langs)
+            sums = [a + b for a, b in zip(sums, v)]
+    best = max(sums)
+    return langs[sums.index(best)], 1 / sum(math.exp(x - best) for x in sums)
+
+
+def test_language_backs_off_as_by_hand(spark):
+    """Unseen words by the longest counted n-grams, with every word broadcast, some, or none; ties go to the smaller name."""
+    r = random.Random(8)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(1, 7)))
+    train = [(" ".join(word("abcde") for _ in range(12)), "aa") for _ in range(6)] + [(" ".join(word("cdefg") for _ in range(9)), "bb") for _ in range(6)]
+    asked = [" ".join(word(k) for _ in range(4)) for k in ("abcde", "cdefg", "abgzz", "zzyx")] * 3 + [train[0][0], "q", "Abc-DEF3gg a1b"]
+    frame = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(train)], "doc_id bigint, text string, lang string")
+    ask = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    for near_mb in (0, 0.002, 10):
+        for row in language_id.predict(ask, language_id.fit(frame, near_mb=near_mb)).collect():
+            lang, score = _language_by_hand(train, asked[row["doc_id"]])
+            assert row["lang_pred"] == lang and row["score"] == pytest.approx(score, abs=1e-9), asked[row["doc_id"]]
+    twins = spark.createDataFrame([(1, "same words", "bb"), (2, "same words", "aa")], "doc_id bigint, text string, lang string")
+    assert {(x["lang_pred"], x["score"]) for x in language_id.predict(ask, language_id.fit(twins)).collect()} == {("aa", 0.5)}
+
+
 def test_shards_are_near_equal_and_gapless(docs, spark):
     out = [r.asDict() for r in QUERIES["op6_sharding"](spark, SF).collect()]
     sizes, slots = Counter(), {}
