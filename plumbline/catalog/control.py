@@ -8,7 +8,7 @@ from plumbline.catalog.registry import query
 from plumbline.catalog.sources import customers, orders, revenue, silver
 from plumbline.catalog.views import table, view
 from plumbline.config import QUALITY_SUITES
-from plumbline.operators import checks, drift, incremental
+from plumbline.operators import checks, drift, evidence, incremental
 from plumbline.plans import alerts as alerting
 from plumbline.plans import gates, governance, marts, metrics, observe
 from plumbline.session import cut_lineage
@@ -258,6 +258,7 @@ EXCEPTION_ROWS = [
 @query("OBS-11 FLT-6 JN-11", """
     select run_id, gate_name, status as gate_status, severity as gate_severity,
       gate_name in ('high_alert_gate', 'runtime_gate') as exception_applied,
+      cast(case when gate_name in ('high_alert_gate', 'runtime_gate') then 1 else 0 end as bigint) as exception_count,
       case gate_name when 'high_alert_gate' then 'EX-1' when 'runtime_gate' then 'EX-4' else '' end as exception_ids
     from gates where status <> 'passed'""")
 def gate_exceptions(spark, sf):
@@ -266,6 +267,31 @@ def gate_exceptions(spark, sf):
         "exception_ids", F.array_join("exception_ids", ";"))
 
 
+@query("OBS-11 AGG-12", """
+    with register as (select alert_id as exception_id, case when alert_id like '%7' then 'slo_gate' else '*' end as gate_name from alerts), ranked as (
+      select run_id, g.gate_name, exception_id, row_number() over (partition by run_id, g.gate_name order by exception_id) as n
+      from gates g join register r on r.gate_name = '*' or r.gate_name = g.gate_name where g.status <> 'passed')
+    select run_id, gate_name, cast((n - 1) // 50 + 1 as int) as page, count(*) as value_count, min(exception_id) as first_value,
+      max(exception_id) as last_value from ranked group by all""")
+def exceptions_per_gate(spark, sf):
+    """All exceptions that cover a gate, in pages: one for each alert, most of them for every gate."""
+    register = view(spark, sf, "alerts").select(
+        F.col("alert_id").alias("exception_id"), F.lit("active").alias("status"),
+        F.when(F.col("alert_id").endswith("7"), "slo_gate").otherwise("*").alias("gate_name"), F.lit("2024-12-31T23:59:59+00:00").alias("expires_at"))
+    matched = gates.covering_exceptions(gate_table(spark, sf), register, AS_OF)
+    return evidence.pages(matched, ["run_id", "gate_name"], "exception_id", 50).drop("value_list")
+
+
+@query("OBS-10 AGG-12", """
+    select case when band in ('Blocked', 'At Risk') then 'risky' else 'watched' end as list_name, run_id || '/' || dataset_name as value
+    from (select run_id, dataset_name, trust_score_band as band from trust) where band in ('Blocked', 'At Risk', 'Monitor')""")
+def gate_trust_lists(spark, sf):
+    """Every dataset of every run that a trust gate over all runs would name, from the pages of its lists."""
+    every = trust_rows(spark, sf).withColumns({"dataset_name": F.concat_ws("/", "run_id", "dataset_name"), "run_id": F.lit("all")})
+    paged = evidence.pages(gates.trust_lists(every), ["run_id", "list_name"], "dataset_name")
+    return paged.select("list_name", F.explode("value_list").alias("value"))
+
+
 @query("OBS-11", """
     select run_id, count(*) as evaluated_gate_count,
       count(*) filter (where status = 'failed' and severity in ('critical', 'high')) as unresolved_without_exception_count,

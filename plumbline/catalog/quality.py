@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from plumbline.catalog.registry import query
@@ -11,7 +13,7 @@ from plumbline.catalog.sources import (
 from plumbline.catalog.views import table, view
 from plumbline.config import CATALOG, EXPECTATIONS, FRESHNESS_HOURS, MODEL_TESTS, QUALITY_SUITES, SOURCES
 from plumbline.functions import casts
-from plumbline.operators import checks, contract, drift, pii, profile, reconcile
+from plumbline.operators import checks, contract, drift, evidence, pii, profile, reconcile
 from plumbline.plans import marts
 from plumbline.session import cut_lineage
 
@@ -178,6 +180,27 @@ def contract_violations_by_group(spark, sf):
         F.col("observed_value").cast("double").alias("observed"))
 
 
+@query("Q-6 Q-9 AGG-12", """
+    select 'primary_key_unique' as check_name, event_id as value, count(*) as n from raw_behavior where trim(event_id) <> '' group by 2 having count(*) > 1
+    union all select 'accepted_values_product_id', product_id, count(*) from raw_behavior
+      where trim(product_id) <> '' and lower(product_id) not in ('p1', 'p2') group by 2""")
+def contract_bad_values(spark, sf):
+    """Every repeated key and every product outside a set of two, with its rows."""
+    spec = dataclasses.replace(SOURCES["customer_behavior"], accepted_values={"product_id": ("P1", "P2")})
+    return contract.offending_values(view(spark, sf, "raw_behavior").drop("_pos"), spec)
+
+
+@query("Q-6 Q-9 AGG-12", """
+    with bad as (select 'primary_key_unique' as check_name, event_id as value from raw_behavior where trim(event_id) <> '' group by 2 having count(*) > 1
+      union all select distinct 'accepted_values_product_id', product_id from raw_behavior where trim(product_id) <> '' and lower(product_id) not in ('p1', 'p2'))
+    select check_name, cast((n - 1) // 100 + 1 as int) as page, count(*) as value_count, min(value) as first_value, max(value) as last_value,
+      string_agg(value, ',' order by value) as listed from (select *, row_number() over (partition by check_name order by value) as n from bad) group by 1, 2""")
+def contract_evidence_pages(spark, sf):
+    """The same values as numbered pages of a hundred."""
+    return evidence.pages(contract_bad_values(spark, sf), ["check_name"], "value", 100).withColumn(
+        "listed", F.array_join("value_list", ",")).drop("value_list")
+
+
 # -- types, drift ---------------------------------------------------------------------------
 
 @query("Q-1 SRC-5", "select source_system, day, column_name, data_type, nullable from schema_fields")

@@ -9,7 +9,7 @@ from plumbline.config import SourceSpec
 from plumbline.functions.casts import count_when, is_blank
 from plumbline.functions.infer import COMPATIBLE, kind_bit, merged_type
 from plumbline.functions.names import data_columns, normalize_name, rename_only
-from plumbline.operators.evidence import first_values
+from plumbline.operators.evidence import first_values, list_text
 from plumbline.operators.joins import join_null_safe
 
 # Action per kind of violation.
@@ -47,10 +47,6 @@ def safe_renames(columns: list[str], spec: SourceSpec) -> dict[str, str]:
     return {old: new for old, new in spec.renames.items() if normalize_name(old) in present}
 
 
-def _list_text(values: Column) -> Column:
-    return F.array_join(F.coalesce(values, F.array().cast("array<string>")), ", ")
-
-
 def _json(values) -> str:
     import json
 
@@ -118,7 +114,7 @@ def contract_reports(
             "primary_key_unique", "critical", F.coalesce(F.col("__dup_count"), F.lit(0)) > 0,
             F.to_json("__dup_list"), "all primary key values unique",
             F.concat(F.lit(f"Duplicate primary key values detected for {key}: "),
-                     _list_text(F.col("__dup_list"))), "key_unique", hard),
+                     list_text(F.col("__dup_list"), F.col("__dup_count"))), "key_unique", hard),
     ]
     for column, limit in spec.null_thresholds.items():
         share = F.round(F.col(f"__null_{column}") / F.col("row_count"), 4)
@@ -142,7 +138,7 @@ def contract_reports(
                 f"accepted_values_{column}", "high",
                 F.coalesce(F.col(f"__badn_{column}"), F.lit(0)) > 0, F.to_json(f"__bad_{column}"),
                 _json(sorted(v.lower() for v in allowed)),
-                F.concat(F.lit(f"Unexpected values in {column}: "), _list_text(F.col(f"__bad_{column}"))),
+                F.concat(F.lit(f"Unexpected values in {column}: "), list_text(F.col(f"__bad_{column}"), F.col(f"__badn_{column}"))),
                 "accepted"))
     if observed_at and validation_time:
         age = (
@@ -183,6 +179,27 @@ def contract_reports(
     )
 
 
+def offending_values(df: DataFrame, spec: SourceSpec, by: list[str] | None = None) -> DataFrame:
+    """Every repeated key and every value outside its set: ``by``, check_name, value, n (its rows)."""
+    from plumbline.operators.checks import repeated_keys
+
+    by = by or []
+    rows = rename_only(df, spec.renames)
+    columns = set(data_columns(rows))
+    wrong = [
+        F.when(not_accepted(F.col(column), allowed), F.struct(
+            F.lit(f"accepted_values_{column}").alias("check_name"), F.col(column).cast("string").alias("value")))
+        for column, allowed in spec.accepted_values.items() if column in columns
+    ]
+    none = F.lit(None).cast("struct<check_name:string,value:string>")
+    bad = rows.select(*by, F.explode(F.array_compact(F.array(*(wrong or [none])))).alias("bad"))
+    found = bad.groupBy(*by, "bad.check_name", "bad.value").agg(F.count(F.lit(1)).alias("n"))
+    if spec.primary_key in columns:
+        found = found.unionByName(repeated_keys(rows, spec.primary_key, by).select(
+            *by, F.lit("primary_key_unique").alias("check_name"), F.col("key").alias("value"), F.col("occurrences").alias("n")))
+    return found
+
+
 def _dict_json(values: dict[str, str]) -> str:
     import json
 

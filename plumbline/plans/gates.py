@@ -179,18 +179,29 @@ def apply_exceptions(gates: DataFrame, register: DataFrame, now: str) -> DataFra
     on = ["run_id", "gate_name"]
     open_gates = gates.where(F.col("status") != "passed").select(
         *on, F.col("status").alias("gate_status"), F.col("severity").alias("gate_severity"))
-    active = active_exceptions(register, now).select("exception_id", F.col("gate_name").alias("__key"))
-    matched = (
-        open_gates.withColumn("__key", F.explode(F.array(F.col("gate_name"), F.lit("*"))))
-        .join(active, "__key")
-    )
+    matched = covering_exceptions(gates, register, now)
     covered = first_values(matched, on, "exception_id")
     return open_gates.join(covered, on, "left").select(
         *on, "gate_status", "gate_severity",
         F.col("value_count").isNotNull().alias("exception_applied"),
+        F.coalesce("value_count", F.lit(0)).cast("bigint").alias("exception_count"),
         F.coalesce("value_list", F.array().cast("array<string>")).alias("exception_ids"))
 
 
+def covering_exceptions(gates: DataFrame, register: DataFrame, now: str) -> DataFrame:
+    """Every active exception of every gate that has not passed: run_id, gate_name, exception_id."""
+    active = active_exceptions(register, now).select("exception_id", F.col("gate_name").alias("__key"))
+    named = gates.where(F.col("status") != "passed").select("run_id", "gate_name")
+    return named.withColumn("__key", F.explode(F.array(F.col("gate_name"), F.lit("*")))).join(active, "__key").select("run_id", "gate_name", "exception_id")
+
+
+def trust_lists(trust: DataFrame) -> DataFrame:
+    """Every dataset that the trust gate looks at: run_id, list_name (``risky`` or ``watched``), dataset_name."""
+    band = F.col("trust_score_band")
+    named = F.when(band.isin("Blocked", "At Risk"), "risky").when(band == "Monitor", "watched")
+    return trust.select("run_id", named.alias("list_name"), "dataset_name").where("list_name is not null")
+
+
 def unresolved_gates(evaluated: DataFrame) -> DataFrame:
     """Failed critical or high gates that no exception covers."""
     return evaluated.where(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.config import QUALITY_SUITES, SOURCES
 from plumbline.functions.names import normalize_name
-from plumbline.operators import checks, contract, drift, pii, profile, reconcile
+from plumbline.operators import checks, contract, drift, evidence, pii, profile, reconcile
 from plumbline.operators.dedupe import REASON, accepted
 from plumbline.operators.standardize import standardize
 from plumbline.plans import alerts as alerting
@@ -100,7 +100,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 def ingest(run: Run) -> dict[str, DataFrame]:
     """Reads all landing files, checks them file by file and writes bronze."""
     by_source: dict[str, list[landing.FileGroup]] = {}
-    reports, fields, profiles = [], [], []
+    reports, fields, profiles, offending = [], [], [], []
     for name, spec in SOURCES.items():
         groups = landing.read_landing(run.spark, f"{run.landing}/{name}/*")
         by_source[name] = groups
@@ -108,6 +108,7 @@ def ingest(run: Run) -> dict[str, DataFrame]:
             rows = group.rows.withColumnsRenamed({c: normalize_name(c) for c in group.columns})
             reports.append(contract.contract_reports(
                 rows, spec, ["_source_file"], run.now, run.now, run.date_as_timestamp))
+            offending.append(contract.offending_values(rows, spec, ["_source_file"]).withColumn("source_system", F.lit(name)))
             fields.append(drift.infer_schema(
                 rows, ["_source_file"], run.date_as_timestamp, skip_empty=group.format != "csv",
             ).withColumn("source_system", F.lit(name)))
@@ -115,6 +116,8 @@ def ingest(run: Run) -> dict[str, DataFrame]:
     if not reports:
         raise FileNotFoundError(f"no landing files below {run.landing}")
     run.save(_stack(reports).withColumnRenamed("_source_file", "file_name"), "contract_reports")
+    run.save(evidence.pages(_stack(offending).withColumnRenamed("_source_file", "file_name"),
+                            ["source_system", "file_name", "check_name"], "value"), "contract_evidence")
     run.save(_stack(profiles), "source_profiles")
 
     snaps = drift.snapshots(_stack(fields), ["source_system", "_source_file"]).select(
@@ -267,6 +270,8 @@ def run_medallion(
 
     since = time.perf_counter()
     quality = run.save(checks.validate_all(silver, QUALITY_SUITES), "quality_results")
+    bad = [checks.bad_values(df, QUALITY_SUITES[name]).withColumn("dataset_name", F.lit(name)) for name, df in silver.items() if name in QUALITY_SUITES]
+    run.save(evidence.pages(_stack(bad), ["dataset_name", "check_name"], "value"), "quality_evidence")
     run.step("quality_validation", since)
 
     since = time.perf_counter()
@@ -328,7 +333,10 @@ def run_medallion(
     facts = gates.run_facts(runs, summary, slos, alerts, trust, edges, certified)
     gate_table = run.save(gates.gate_rows(facts), "release_gates")
     release = run.save(gates.release_status(gate_table), "release_status")
-    applied = run.save(gates.apply_exceptions(gate_table, gates.exception_table(spark), now), "exceptions")
+    register = gates.exception_table(spark)
+    applied = run.save(gates.apply_exceptions(gate_table, register, now), "exceptions")
+    run.save(evidence.pages(gates.covering_exceptions(gate_table, register, now), ["run_id", "gate_name"], "exception_id"), "exception_evidence")
+    run.save(evidence.pages(gates.trust_lists(trust), ["run_id", "list_name"], "dataset_name"), "trust_evidence")
     tasks = run.save(gates.remediation_plan(gate_table, applied, findings, now), "remediation")
     means = observe.mean_scores(ready, trust)
     card = run.save(observe.platform_scorecard(

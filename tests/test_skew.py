@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.dedupe import reject_duplicates
-from plumbline.operators.evidence import first_values
+from plumbline.operators.evidence import first_values, list_text, pages
 from plumbline.operators.joins import best_mention, join_null_safe, lookup
 from plumbline.operators.ordered import previous, running_total, trailing, with_position
 
@@ -87,12 +87,24 @@ def test_mentions_are_substring_search(spark, most):
 
 def test_first_values_counts_everything(spark, skewed):
     rows, df = skewed
-    got = {r.k: r for r in first_values(df, ["k"], "t", limit=5).collect()}
+    got = {r.k: r for r in first_values(df, ["k"], "t", size=5).collect()}
     for key in {r[0] for r in rows}:
         mine = sorted(str(r[1]) for r in rows if r[0] == key)
         assert got[key].value_count == len(mine) and got[key].value_list == mine[:5]
 
 
+def test_pages_hold_every_value_once(spark, skewed):
+    rows, df = skewed
+    got = {}
+    for r in pages(df, ["k"], "t", size=7).orderBy("k", "page").collect():
+        assert len(r.value_list) == r.value_count <= 7 and (r.value_list[0], r.value_list[-1]) == (r.first_value, r.last_value)
+        assert r.page == len(got.get(r.k, [])) // 7 + 1
+        got.setdefault(r.k, []).extend(r.value_list)
+    assert got == {key: sorted({str(r[1]) for r in rows if r[0] == key}) for key in {r[0] for r in rows}}
+    long = spark.createDataFrame([(["a", "b"], 5), (["a"], 1), (None, None)], "v array<string>, n int")
+    assert [r[0] for r in long.select(list_text(F.col("v"), F.col("n"))).collect()] == ["a, b, ... (5 values in all)", "a", ""]
+
+
 def test_null_safe_join_keeps_null_keys(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")
