@@ -15,6 +15,8 @@ from plumbline.catalog.registry import query
 from plumbline.catalog.sources import orders, revenue, silver
 from plumbline.catalog.views import table, view
 from plumbline.functions.casts import is_blank
+from plumbline.config import SOURCES
+from plumbline.operators import contract
 from plumbline.plans import marts
 from plumbline.session import ensure_checkpoint_dir
 from plumbline.sinks import export, lake
@@ -56,6 +58,47 @@ def landing_json_lines(spark, sf):
         F.min("event_time").alias("first_time"))
 
 
+@query("Q-4 Q-5 Q-8 Q-20 SRC-2", """
+    with t as (select *, case status when 'open' then 'full' when 'pending' then 'lean' else 'odd' end as kind,
+        case when priority not in ('low', 'Medium', 'HIGH', 'urgent') then 1 else 0 end as bad from raw_support),
+      n as (select kind, count(*) as row_count, sum(bad) as bad, round(count(*) filter (where user_id = '') / count(*), 4) > 0.05 as blank from t group by 1)
+    select kind, row_count, case when kind = 'full' and bad = 0 and not blank then 'PASS' else 'FAIL' end as status,
+      case kind when 'lean' then 'created_ts,customer_id,status,ticket_id,topic' when 'full' then 'created_ts,customer_id,priority,status,ticket_id,topic'
+        else 'channel,created_ts,customer_id,priority,status,ticket_id,topic' end as observed_columns,
+      case when kind = 'lean' then '' else 'user_id=customer_id' end as renames,
+      concat_ws(';', case when kind = 'lean' then 'required_columns_present' when kind = 'odd' then 'unexpected_columns' end,
+        case when blank then 'null_threshold_customer_id' end, case when kind = 'lean' then 'null_threshold_priority' end,
+        case when kind = 'odd' then 'type_validation_created_ts' end,
+        case when kind <> 'lean' and bad > 0 then 'accepted_values_priority' end) as checks,
+      case kind when 'lean' then 'Missing required columns: priority' when 'odd' then 'New non-contracted columns observed: channel' else '' end as schema_message,
+      case when kind = 'odd' then 'string' else '' end as observed_type
+    from n""")
+def contract_of_json_files(spark, sf):
+    """Tickets as JSON lines in three parts that differ in keys and types: each part is judged by the keys it has itself."""
+    root, rows = scratch(spark), view(spark, sf, "raw_support").drop("_pos")
+    kind = F.when(F.col("status") == "open", "full").when(F.col("status") == "pending", "lean").otherwise("odd")
+    full = ["ticket_id", "user_id", "created_ts", "priority", "status", "topic"]
+    records = {
+        "full": [F.col(c) for c in full],
+        "lean": ["ticket_id", F.col("user_id").alias("Customer ID"), "created_ts", "status", F.lit(None).cast("string").alias("topic")],
+        "odd": [*[F.lit("soon").alias(c) if c == "created_ts" else F.col(c) for c in full], F.lit("web").alias("channel")],
+    }
+    lines = F.lit(None).cast("string")
+    for name, columns in records.items():
+        lines = F.when(kind == name, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})).otherwise(lines)
+    rows.select(kind.alias("_kind"), lines.alias("value")).write.partitionBy("_kind").text(root)
+    landed = landing.read_jsonl_group(spark, [root])
+    reports = contract.contract_reports(landed, SOURCES["crm_support"], ["_kind"], keys=landing.json_keys(spark, [root], by=("_kind",)))
+    found = F.transform("violations", lambda v: v["check_name"])
+    messages = F.filter("violations", lambda v: v["check_name"].isin("required_columns_present", "unexpected_columns"))
+    types = F.filter("violations", lambda v: v["check_name"].startswith("type_validation"))
+    return reports.select(
+        F.col("_kind").alias("kind"), "row_count", "status", F.array_join("observed_columns", ",").alias("observed_columns"),
+        F.array_join(F.transform(F.map_entries("safe_renames_applied"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("renames"),
+        F.array_join(found, ";").alias("checks"), F.array_join(F.transform(messages, lambda v: v["message"]), ";").alias("schema_message"),
+        F.array_join(F.transform(types, lambda v: v["observed_value"]), ";").alias("observed_type"))
+
+
 @query("SNK-1 SRC-12 PRJ-5", """
     select 'operational_logs' as source_system, case when event_ts < '2024-01-16' then '2024-01-15' else '2024-01-31' end as ingest_date,
       count(*) as row_count, count(distinct log_id) as logs from raw_logs group by 2""")

@@ -16,6 +16,11 @@ def normalize_name(name: str) -> str:
     return "_".join(re.findall(r"[0-9a-z]+", name.lower()))
 
 
+def normalized(name: Column) -> Column:
+    """``normalize_name`` for a column of names."""
+    return F.btrim(F.regexp_replace(F.lower(name), "[^0-9a-z]+", "_"), F.lit("_"))
+
+
 def sources_by_target(columns: Iterable[str], aliases: Mapping[str, str]) -> dict[str, list[str]]:
     """Target name -> the given columns that feed it, the column of that very name first."""
     feeds: dict[str, list[str]] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.config import SourceSpec
 from plumbline.functions.casts import count_when, is_blank
 from plumbline.functions.infer import COMPATIBLE, kind_bit, merged_type
-from plumbline.functions.names import data_columns, normalize_name, rename_only
+from plumbline.functions.names import data_columns, normalize_name, normalized, rename_only, sources_by_target
 from plumbline.operators.evidence import first_values, list_text
 from plumbline.operators.joins import join_null_safe
 
@@ -47,6 +47,29 @@ def safe_renames(columns: list[str], spec: SourceSpec) -> dict[str, str]:
     return {old: new for old, new in spec.renames.items() if normalize_name(old) in present}
 
 
+def _texts(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+def _name_list(names: Column) -> Column:
+    """Normalised names as JSON text; they hold nothing to escape."""
+    return F.when(F.size(names) == 0, "[]").otherwise(F.concat(F.lit('["'), F.array_join(names, '", "'), F.lit('"]')))
+
+
+def group_columns(keys: DataFrame, df: DataFrame, spec: SourceSpec, by: list[str]) -> DataFrame:
+    """Per group: ``__columns`` (contracted names of its keys, sorted) and ``__renames`` (old names present -> contracted)."""
+    targets = {normalize_name(part): target for target, parts in sources_by_target(df.columns, spec.renames).items() for part in parts}
+    target = F.lit(None).cast("string")
+    for part, name in targets.items():
+        target = F.when(F.col("__raw") == part, name).otherwise(target) if part != name else target
+    named = keys.select(*by, normalized(F.col("key")).alias("__raw")).where("not startswith(__raw, '_') and __raw <> ''")
+    per = named.groupBy(*by).agg(
+        F.array_sort(F.collect_set(F.coalesce(target, F.col("__raw")))).alias("__columns"), F.collect_set("__raw").alias("__raws"))
+    old = F.array(*[F.when(F.array_contains("__raws", normalize_name(a)), F.struct(F.lit(a).alias("key"), F.lit(b).alias("value"))) for a, b in spec.renames.items()]
+                  or [F.lit(None).cast("struct<key:string,value:string>")])
+    return per.withColumn("__renames", F.map_from_entries(F.array_compact(old))).drop("__raws")
+
+
 def _json(values) -> str:
     import json
 
@@ -55,11 +78,12 @@ def _json(values) -> str:
 
 def contract_reports(
     df: DataFrame, spec: SourceSpec, by: list[str] | None = None, observed_at: str | None = None,
-    validation_time: str | None = None, date_as_timestamp: bool = False,
+    validation_time: str | None = None, date_as_timestamp: bool = False, keys: DataFrame | None = None,
 ) -> DataFrame:
     """One report row per group (file) with its outcome and its violations.
 
-    Counts, blank ratios, kinds of values and set checks come from one aggregate. Key
+    Without ``keys`` every group has the columns of ``df``. ``keys`` (``by`` and key) says which columns each group really has:
+    a frame read from several JSON files has those of all of them. Counts, blank ratios, kinds of values and set checks come from one aggregate. Key
     repeats and the lists of offending values are separate key-only aggregates.
     """
     by = by or []
@@ -95,17 +119,25 @@ def contract_reports(
             facts = join_null_safe(facts, first_values(wrong, on, column).withColumnsRenamed(
                 {"value_list": f"__bad_{column}", "value_count": f"__badn_{column}"}), on)
 
-    missing = sorted(set(spec.required) - set(columns))
-    unexpected = sorted(set(columns) - set(spec.schema))
+    if keys is None:
+        renames = safe_renames(data_columns(df), spec)
+        facts = facts.withColumns({
+            "__columns": _texts(columns),
+            "__renames": F.from_json(F.lit(_dict_json(renames)), "map<string,string>")})
+    else:
+        facts = join_null_safe(facts, group_columns(keys, df, spec, by).withColumn("__one", F.lit(1)), on)
+        facts = facts.withColumn("__columns", F.coalesce("__columns", _texts([])))
+    missing = F.array_except(_texts(sorted(spec.required)), F.col("__columns"))
+    unexpected = F.array_except(F.col("__columns"), _texts(expected))
     found = [
         _violation(
-            "required_columns_present", "critical", F.lit(bool(missing)), F.lit(_json(columns)),
-            _json(spec.required), F.lit("Missing required columns: " + ", ".join(missing)),
+            "required_columns_present", "critical", F.size(missing) > 0, _name_list(F.col("__columns")),
+            _json(spec.required), F.concat(F.lit("Missing required columns: "), F.array_join(missing, ", ")),
             "required", hard),
         _violation(
             "unexpected_columns", "medium" if spec.compatibility in TOLERANT_MODES else "high",
-            F.lit(bool(unexpected)), F.lit(_json(unexpected)), _json(expected),
-            F.lit("New non-contracted columns observed: " + ", ".join(unexpected)), "unexpected"),
+            F.size(unexpected) > 0, _name_list(unexpected), _json(expected),
+            F.concat(F.lit("New non-contracted columns observed: "), F.array_join(unexpected, ", ")), "unexpected"),
         _violation(
             "primary_key_not_null", "critical", F.col("__key_blank") > 0, F.col("__key_blank"), "0",
             F.concat(F.col("__key_blank"), F.lit(f" records are missing primary key {key}")),
@@ -128,7 +160,8 @@ def contract_reports(
         if column in columns:
             seen = merged_type(f"__kind_{column}", date_as_timestamp)
             found.append(_violation(
-                f"type_validation_{column}", "critical", ~seen.isin(*sorted(COMPATIBLE[wanted])),
+                f"type_validation_{column}", "critical",
+                F.array_contains("__columns", column) & ~seen.isin(*sorted(COMPATIBLE[wanted])),
                 seen, wanted,
                 F.concat(F.lit(f"{column} type changed from expected {wanted} to observed "), seen),
                 "type", hard))
@@ -152,7 +185,6 @@ def contract_reports(
             "freshness"))
 
     held = F.exists("violations", lambda v: v["quarantine_recommended"])
-    renames = safe_renames(data_columns(df), spec)
     return (
         facts.withColumn("violations", F.array_compact(F.array(*found)))
         .select(
@@ -164,9 +196,9 @@ def contract_reports(
             F.lit(spec.freshness_minutes).alias("freshness_sla_minutes"),
             F.lit(spec.compatibility).alias("schema_compatibility_mode"),
             "row_count",
-            F.array(*[F.lit(c) for c in columns]).alias("observed_columns"),
+            F.col("__columns").alias("observed_columns"),
             F.array(*[F.lit(c) for c in expected]).alias("expected_columns"),
-            F.from_json(F.lit(_dict_json(renames)), "map<string,string>").alias("safe_renames_applied"),
+            F.col("__renames").alias("safe_renames_applied"),
             F.array(*[F.lit(c) for c in spec.downstream]).alias("downstream_dependencies"),
             F.when(held, "QUARANTINE")
             .when(F.exists("violations", lambda v: v["severity"] == "critical"),

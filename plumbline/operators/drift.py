@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from plumbline.config import SOURCES
 from plumbline.functions.casts import count_when, is_blank
 from plumbline.functions.infer import kind_bit, merged_type
-from plumbline.functions.names import data_columns
+from plumbline.functions.names import data_columns, normalized
+from plumbline.operators.joins import join_null_safe
 from plumbline.operators.ordered import previous, running_total, with_position
 
 FIELD = "array<struct<name:string,data_type:string,nullable:boolean>>"
@@ -16,12 +17,12 @@ FIELD = "array<struct<name:string,data_type:string,nullable:boolean>>"
 
 def infer_schema(
     df: DataFrame, by: list[str] | None = None, date_as_timestamp: bool = False,
-    skip_empty: bool = False,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Column types per group in one aggregate pass, one row per (group, column).
 
-    ``skip_empty`` leaves out columns with no value at all in a group: in a frame read from
-    several JSON files those are columns the file does not have.
+    ``keys`` (``by`` and key) names the columns that each group has, where that differs from the columns of the
+    frame: one read from several JSON files has those of all.
     """
     by = by or []
     columns = data_columns(df)
@@ -30,18 +31,20 @@ def infer_schema(
         quoted = F.col(f"`{column}`")
         aggregates.append(F.bit_or(kind_bit(column)).alias(f"__k_{column}"))
         aggregates.append(count_when(is_blank(quoted)).alias(f"__b_{column}"))
-    facts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
+    facts = df.groupBy(*by).agg(*aggregates)
     fields = F.array(*[
         F.struct(
             F.lit(column).alias("column_name"),
             merged_type(f"__k_{column}", date_as_timestamp).alias("data_type"),
             (F.col(f"`__b_{column}`") > 0).alias("nullable"),
-            (F.col(f"`__b_{column}`") < F.col("__rows")).alias("filled"),
         )
         for column in columns
     ])
     rows = facts.select(*by, F.explode(fields).alias("f")).select(*by, "f.*")
-    return (rows.where("filled") if skip_empty else rows).drop("filled")
+    if keys is None:
+        return rows
+    own = keys.select(*by, normalized(F.col("key")).alias("__key")).distinct()
+    return join_null_safe(rows.withColumn("__key", normalized(F.col("column_name"))), own, [*by, "__key"], "left_semi").drop("__key")
 
 
 def fingerprint(fields: Column) -> Column:

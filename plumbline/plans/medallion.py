@@ -107,10 +107,10 @@ def ingest(run: Run) -> dict[str, DataFrame]:
         for group in groups:
             rows = group.rows.withColumnsRenamed({c: normalize_name(c) for c in group.columns})
             reports.append(contract.contract_reports(
-                rows, spec, ["_source_file"], run.now, run.now, run.date_as_timestamp))
+                rows, spec, ["_source_file"], run.now, run.now, run.date_as_timestamp, group.keys))
             offending.append(contract.offending_values(rows, spec, ["_source_file"]).withColumn("source_system", F.lit(name)))
             fields.append(drift.infer_schema(
-                rows, ["_source_file"], run.date_as_timestamp, skip_empty=group.format != "csv",
+                rows, ["_source_file"], run.date_as_timestamp, keys=group.keys,
             ).withColumn("source_system", F.lit(name)))
             profiles.append(profile.profile_columns(rows).withColumn("source_system", F.lit(name)))
     if not reports:

@@ -31,6 +31,8 @@ class FileGroup:
     columns: list[str]
     paths: list[str]
     rows: DataFrame
+    #: JSON only: the keys of each file, as a frame read from several files has the columns of all
+    keys: DataFrame | None = None
 
 
 def source_format(path: str) -> str:
@@ -150,6 +152,20 @@ def read_jsonl_group(spark: SparkSession, paths: list[str]) -> DataFrame:
     return _placed(spark.read.options(primitivesAsString=True).json(paths))
 
 
+def json_keys(spark: SparkSession, paths: list[str], shape: str | None = None, by: tuple[str, ...] = ("_source_file",)) -> DataFrame:
+    """``by`` and key: every key that some record of a file has, null values included.
+
+    ``shape`` is the first mark of a JSON document, None for one record a line. ``by`` names the file or partition columns.
+    """
+    texts = spark.read.text(paths, wholetext=shape is not None).withColumn("_source_file", F.col("_metadata.file_name"))
+    if shape is None:
+        return texts.select(*by, F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    records = F.from_json("value", "array<map<string,string>>")
+    if shape == "{":
+        records = F.from_json("value", "struct<records:array<map<string,string>>>")["records"]
+    return texts.select(*by, F.explode(records).alias("r")).select(*by, F.explode(F.map_keys("r")).alias("key")).distinct()
+
+
 def read_landing(spark: SparkSession, glob: str) -> list[FileGroup]:
     """All files behind ``glob``, grouped by format and header.
 
@@ -173,11 +189,11 @@ def read_landing(spark: SparkSession, glob: str) -> list[FileGroup]:
                     groups.append(FileGroup(kind, header, part, rows))
             continue
         if kind == "json":
-            rows = read_json_group(spark, members, head)
+            rows, keys = read_json_group(spark, members, head), json_keys(spark, members, head)
         else:
-            rows = read_jsonl_group(spark, members)
+            rows, keys = read_jsonl_group(spark, members), json_keys(spark, members)
         columns = [column for column in rows.columns if not column.startswith("_")]
-        groups.append(FileGroup(kind, columns, members, rows))
+        groups.append(FileGroup(kind, columns, members, rows, keys))
     return groups
 
 

@@ -248,3 +248,25 @@ def test_stream_dedupe(spark, tmp_path):
         .queryName("plumbline_dedupe").trigger(availableNow=True).start())
     query.awaitTermination(120)
     assert sorted(r.id for r in spark.table("plumbline_dedupe").collect()) == ["x", "y"]
+
+
+@pytest.mark.parametrize("kind", ["json", "records", "jsonl"])
+def test_each_json_file_has_its_own_keys(spark, tmp_path, kind):
+    """Files read into one frame are judged by the keys that they have, null values included."""
+    from plumbline.config import SOURCES
+    from plumbline.operators import contract, drift
+
+    good = {"ticket_id": "T1", "User ID": "C1", "created_ts": "2026-05-10T00:00:00Z", "priority": "low", "status": "open"}
+    files = {"a": [good], "b": [{**{k: v for k, v in good.items() if k != "priority"}, "topic": None}], "c": [good, {**good, "ticket_id": "T2", "extra": 1.50}]}
+    for name, records in files.items():
+        text = "\n".join(map(json.dumps, records)) if kind == "jsonl" else json.dumps(records if kind == "json" else {"records": records}, indent=1)
+        put(f"{tmp_path}/t/{name}.{'jsonl' if kind == 'jsonl' else 'json'}", text)
+    group, = landing.read_landing(spark, f"{tmp_path}/t/*")
+    rows = group.rows.withColumnsRenamed({c: landing.normalize_name(c) for c in group.columns})
+    got = {r["_source_file"][0]: r for r in contract.contract_reports(rows, SOURCES["crm_support"], ["_source_file"], keys=group.keys).collect()}
+    found = {name: {v.check_name for v in r.violations} for name, r in got.items()}
+    assert found == {"a": set(), "b": {"required_columns_present", "null_threshold_priority"}, "c": {"unexpected_columns"}}
+    assert got["b"].observed_columns == ["created_ts", "customer_id", "status", "ticket_id", "topic"] and got["a"].safe_renames_applied == {"user_id": "customer_id"}
+    assert got["c"].violations[0].observed_value == '["extra"]' and [got[x].status for x in "abc"] == ["PASS", "FAIL", "WARNING"]
+    fields = {(r["_source_file"][0], r.column_name) for r in drift.infer_schema(rows, ["_source_file"], keys=group.keys).collect()}
+    assert ("b", "topic") in fields and ("a", "topic") not in fields and ("c", "extra") in fields and ("b", "priority") not in fields
