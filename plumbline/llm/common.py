@@ -18,6 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores after it as it takes to differ from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def fresh_prefix(columns: list[str]) -> str:
+    """Underscores that no column starts with."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def save(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Writes ``df`` as Parquet below the shared checkpoint folder and reads it back.
 

@@ -23,9 +23,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import save, with_window_hashes
+from plumbline.llm.common import fresh, save, with_window_hashes
 
 # fixed values: unit words that follow a number
 UNITS = ["km", "m", "cm", "mm", "kg", "g", "mg", "lb", "lbs", "oz", "mph", "kmh", "l", "ml", "percent", "usd", "eur", "dollars", "euros",
@@ -118,8 +119,9 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = 8, mi
         rows = rows.filter(_in(keys, F.col("key"))).drop("hash")
         hits = rows if hits is None else hits.unionByName(rows)
     if hits is None:
-        return (docs.select("doc_id", F.xxhash64("text").alias("h")).crossJoin(windows.select("item_id", "n_item").limit(0)).filter("false")
-                .withColumns({"diagonal": F.lit(0), "covered": F.lit(0), "slots": F.lit(0)}))
+        kinds = [docs.schema["doc_id"], T.StructField("h", T.LongType()), windows.schema["item_id"], T.StructField("diagonal", T.IntegerType()),
+                 windows.schema["n_item"], T.StructField("covered", T.IntegerType()), T.StructField("slots", T.IntegerType())]
+        return docs.sparkSession.createDataFrame([], T.StructType(kinds))
     hits = save(hits, "decontamination-hits").distinct()
     matched = hits.join(windows.drop("hash"), ["width", "key"]).withColumn("diagonal", F.col("pos") - F.col("ipos"))
     matched = matched.filter(F.size("slots") == F.size("islots"))
@@ -157,5 +159,6 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, width: int = 8, mi
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
-    bad = contaminated_pairs(docs, benchmark, **parameters).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+    doc, h = fresh(docs.columns, "_doc"), fresh(docs.columns, "_h")
+    bad = contaminated_pairs(docs, benchmark, **parameters).select(F.col("doc_id").alias(doc), F.col("h").alias(h)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(h)), "left_anti")

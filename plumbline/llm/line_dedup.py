@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import BLANKS, SPACE_RUN, save
+from plumbline.llm.common import BLANKS, SPACE_RUN, fresh, save
 
 DOC = ["doc_id", "h"]
 #: stands for a null id in keys, as joins drop nulls
@@ -102,13 +102,14 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 30) -> DataFrame:
-    """All columns of ``docs`` with the cleaned text, and ``_removed``: how many lines went."""
+    """All columns of ``docs`` with the cleaned text, and ``_removed``: how many lines went (a column of that name is replaced)."""
+    doc, h, places = (fresh(docs.columns, x) for x in ("_doc", "_h", "_gone"))
     lines = line_table(docs.select("doc_id", "text"), min_words)
     gone = (repeated_runs(lines).select(*DOC, F.explode(F.sequence("idx", F.col("idx") + F.col("m") - 1)).alias("idx")).distinct()
             .join(lines.select(*DOC, "idx", "pos"), [*DOC, "idx"])
-            .groupBy(*DOC).agg(F.array_sort(F.collect_set("pos")).alias("_gone")))  # at most the lines of one text
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), "_gone")
-    joined = docs.join(gone, (_id(docs) == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
-    kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    return joined.select(*[F.when(F.col("_gone").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c]
-                           for c in docs.columns], F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
+            .groupBy(*DOC).agg(F.array_sort(F.collect_set("pos")).alias(places)))  # at most the lines of one text
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("h").alias(h), places)
+    joined = docs.join(gone, (_id(docs) == F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(h)), "left")
+    kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains(places, i)), "\n")
+    return joined.select(*[F.when(F.col(places).isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c]
+                           for c in docs.columns if c != "_removed"], F.coalesce(F.size(places), F.lit(0)).alias("_removed"))

@@ -19,30 +19,31 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BLANKS, count_of, words_of
+from plumbline.llm.common import BLANKS, count_of, fresh_prefix, words_of
 
 STATISTICS = ["n_words", "word_length", "distinct_words", "symbols", "shouts", "digits", "stops",
               "line_words", "dup_lines", "line_chars"]
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the doubles named in STATISTICS as columns ``_stat_<name>``.
+def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "_") -> DataFrame:
+    """Adds the doubles named in STATISTICS as columns ``<prefix>stat_<name>``; no column of ``docs`` may begin with the prefix.
 
     They are columns and no array: an item of an array built in the same plan would be computed anew for each rule.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    step = docs.withColumn("_words", words_of(F.col(text))).withColumn("_lines", lines)
-    n, m = F.size("_words"), F.size("_lines")
+    words_, lines_, chars_ = (f"{prefix}{x}" for x in ("words", "lines", "chars"))
+    step = docs.withColumn(words_, words_of(F.col(text))).withColumn(lines_, lines)
+    n, m = F.size(words_), F.size(lines_)
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-    step = step.withColumn("_chars", F.length(body) - count_of(body, "\\x20\\x09-\\x0D"))
-    chars = F.col("_chars")
-    stats = [n.cast("double"), share(chars, n), share(F.size(F.array_distinct("_words")), n),
+    step = step.withColumn(chars_, F.length(body) - count_of(body, "\\x20\\x09-\\x0D"))
+    chars = F.col(chars_)
+    stats = [n.cast("double"), share(chars, n), share(F.size(F.array_distinct(words_)), n),
              share(count_of(body, "#*$%&|<>"), chars), share(count_of(body, "A-Z!"), chars),
              share(count_of(body, "0-9"), chars), share(count_of(body, ".?,;:"), n),
-             share(n, m), share(m - F.size(F.array_distinct("_lines")), m), share(chars, m)]
-    return (step.withColumns({f"_stat_{k}": c.cast("double") for k, c in zip(STATISTICS, stats)})
-            .drop("_words", "_lines", "_chars"))
+             share(n, m), share(m - F.size(F.array_distinct(lines_)), m), share(chars, m)]
+    return (step.withColumns({f"{prefix}stat_{k}": c.cast("double") for k, c in zip(STATISTICS, stats)})
+            .drop(words_, lines_, chars_))
 
 
 @dataclass(frozen=True)
@@ -52,12 +53,12 @@ class RuleModel:
     bias: float
     rules: tuple[tuple[float, tuple[tuple[int, bool, float], ...]], ...]  # weight, ((statistic, above, cut), ...)
 
-    def column(self) -> Column:
+    def column(self, prefix: str = "_") -> Column:
         total = F.lit(float(self.bias))
         for weight, parts in self.rules:
             holds = F.lit(True)
             for at, above, cut in parts:
-                value = F.col(f"_stat_{STATISTICS[at]}")
+                value = F.col(f"{prefix}stat_{STATISTICS[at]}")
                 holds = holds & ((value > cut) if above else (value <= cut))
             total = total + F.when(holds, F.lit(float(weight))).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
@@ -150,19 +151,25 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, shr
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 20_000) -> RuleModel:
-    """Fits on at most ``max_rows`` of the labelled documents given, chosen by the hash of the id."""
+    """Fits on at most ``max_rows`` of the labelled documents given, chosen by the hash of id and text.
+
+    Labels and documents are bounded: an id may stand in both many times.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)")
     rows = known.count()
     if rows > max_rows:
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(rows)) < max_rows)
     known = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows))  # the bound of the broadcast
-    table = (with_statistics(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")))
-             .select("doc_id", "_y", *[f"_stat_{k}" for k in STATISTICS]).toPandas().sort_values(["doc_id", "_y"], kind="stable"))
+    drawn = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).withColumn("_draw", F.xxhash64("_id", "text"))
+    named = [f"__stat_{k}" for k in STATISTICS]
+    table = (with_statistics(drawn, prefix="__").select("doc_id", "_y", "_draw", *named).orderBy("_draw", "doc_id", "_y").limit(max_rows)
+             .toPandas().sort_values(["doc_id", "_y", "_draw"], kind="stable"))
     if len(table) == 0:
         return fit_rules(np.zeros((0, len(STATISTICS))), np.zeros(0))
-    return fit_rules(table[[f"_stat_{k}" for k in STATISTICS]].to_numpy(float), table["_y"].to_numpy())
+    return fit_rules(table[named].to_numpy(float), table["_y"].to_numpy())
 
 
 def score(docs: DataFrame, model: RuleModel, out: str = "score") -> DataFrame:
-    """Adds the score column to the documents."""
-    return with_statistics(docs).withColumn(out, model.column()).drop(*[f"_stat_{k}" for k in STATISTICS])
+    """Adds the score column to the documents; one of its name is replaced, all others stay."""
+    prefix = fresh_prefix(docs.columns)
+    return with_statistics(docs, prefix=prefix).withColumn(out, model.column(prefix)).drop(*[f"{prefix}stat_{k}" for k in STATISTICS])

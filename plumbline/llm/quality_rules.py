@@ -1,9 +1,11 @@
 """Quality rules whose cut-offs adapt to language and source.
 
-Every document gets integer metrics. Per (lang, source) a mergeable quantile sketch of each metric is kept: a
-histogram over at most 1,001 value buckets. Sketches merge by adding counts, so a small group falls back to the
-merged sketch of its language, and that to the one of all rows. A document fails a rule if its metric lies above
-the upper fence ``q75 + factor * max(q75 - q25, least_spread)`` of its group. Fences are joined to the documents.
+Every document gets metrics. Per (lang, source) a mergeable quantile sketch of each metric is kept: counts of
+buckets that each are ACCURACY wide in proportion to their values and have no end, so any quantile is known to half of that,
+however large. Sketches merge by adding counts, so a small group falls back to the
+merged sketch of its language, and that to the one of all rows. A document fails a rule if its metric itself lies above
+the upper fence ``q75 + factor * max(q75 - q25, least_spread)`` of its group. Fences are joined to the documents. There are no
+lower fences: for every metric here little of it (few symbols, few repeats, short words) is no fault of a text.
 The sketch does not depend on the order in which rows arrive, so results repeat exactly.
 
 Null or blank text: no words, all counts 0, ``base_failed``. Null lang or source: a group like any other. Repeated
@@ -12,6 +14,8 @@ rows give repeated results; an empty table gives an empty result; further column
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +24,9 @@ from plumbline.llm.common import BLANKS, count_of, save, with_window_hashes, wor
 
 SYMBOLS = "#*$%&|<>"
 SHOUTS = "A-Z!"
-BUCKETS = 1000
+#: width of a bucket in proportion to its values, and the bucket of zero
+ACCURACY = 0.02
+ZERO = -(2 ** 31)
 #: metric: least spread in its unit (thousandths; letters in a hundred words for word_length)
 METRICS = {"symbols": 5, "shouts": 10, "repeats": 50, "dup_lines": 75, "word_length": 30}
 
@@ -54,8 +60,17 @@ def with_statistics(docs: DataFrame, text: str = "text", width: int = 8) -> Data
 
 
 def _scaled(part: str, whole: str, unit: int) -> Column:
-    value = F.when(F.col(whole) > 0, (F.col(part) * unit - F.pmod(F.col(part) * unit, F.col(whole))) / F.col(whole))
-    return F.least(F.lit(BUCKETS), F.coalesce(value, F.lit(0)).cast("int"))
+    return F.when(F.col(whole) > 0, F.col(part) * unit / F.col(whole)).otherwise(F.lit(0.0))
+
+
+def bucket_of(value: Column) -> Column:
+    """The sketch's bucket of a value that is not negative."""
+    return F.when(value > 0, F.ceil(F.log(value) / math.log(1 + ACCURACY)).cast("int")).otherwise(F.lit(ZERO))
+
+
+def value_of(bucket: Column) -> Column:
+    """The middle of a bucket."""
+    return F.when(bucket == ZERO, F.lit(0.0)).otherwise(F.pow(F.lit(1 + ACCURACY), bucket) * (2 / (2 + ACCURACY)))
 
 
 def metrics() -> dict[str, Column]:
@@ -65,8 +80,8 @@ def metrics() -> dict[str, Column]:
 
 
 def sketches(stats: DataFrame, names: list[str]) -> DataFrame:
-    """(lang, source, metric, bucket, n): bounded histograms, made with map-side sums."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("bucket")) for m in names]))
+    """(lang, source, metric, bucket, n): a few thousand buckets a metric at most, made with map-side sums."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), bucket_of(F.col(m)).alias("bucket")) for m in names]))
     return (stats.select("lang", "source", pairs.alias("p")).select("lang", "source", "p.metric", "p.bucket")
             .groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("n")))
 
@@ -78,7 +93,7 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     ranked = (merged.withColumn("up_to", F.sum("n").over(group.orderBy("bucket")))
               .withColumn("rows", F.sum("n").over(group)))
     low, high = (F.min(F.when(F.col("up_to") * 4 >= F.col("rows") * k, F.col("bucket"))) for k in (1, 3))
-    return ranked.groupBy(*keys, "metric").agg(low.alias("q1"), high.alias("q3"), F.max("rows").alias("rows"))
+    return ranked.groupBy(*keys, "metric").agg(value_of(low).alias("q1"), value_of(high).alias("q3"), F.max("rows").alias("rows"))
 
 
 def fences(sketch: DataFrame, factor: int = 4, min_rows: int = 100) -> DataFrame:

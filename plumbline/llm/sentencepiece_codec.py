@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from plumbline.llm.common import fresh
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -296,8 +298,12 @@ class Pieces:
 
 
 def encode(docs: DataFrame, model: str = MODEL, text: str = "text", keep: list[str] | None = None, memory: int = 300_000) -> DataFrame:
-    """The kept columns, ids, n_ids and round_trip: whether decoding the ids gives the text back."""
-    keep = ["doc_id"] if keep is None else keep
+    """The kept columns, ids, n_ids and round_trip: whether decoding the ids gives the text back.
+
+    Kept columns that have the name of a result are replaced by it.
+    """
+    keep = [c for c in (["doc_id"] if keep is None else keep) if c not in ("ids", "n_ids", "round_trip")]
+    body = fresh(docs.columns, "_text")
     fields = [docs.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType()),
                                                T.StructField("round_trip", T.BooleanType())]
 
@@ -308,15 +314,15 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", keep: list[s
         for batch in batches:
             for lo in range(0, len(batch), 1000):
                 part = batch.iloc[lo:lo + 1000]
-                texts = pieces.cut([pieces.prepared(t or "") for t in part["_text"]])
+                texts = pieces.cut([pieces.prepared(t or "") for t in part[body]])
                 new = list(set().union(*texts).difference(known))
                 if len(known) + len(new) > memory:
                     known.clear()
                     new = list(set().union(*texts))
                 known.update(zip(new, pieces.encode_chunks(new)))
-                ids = [None if t is None else list(chain.from_iterable(map(known.__getitem__, c))) for t, c in zip(part["_text"], texts)]
-                same = [None if i is None else pieces.decode(i) == t for i, t in zip(ids, part["_text"])]
+                ids = [None if t is None else list(chain.from_iterable(map(known.__getitem__, c))) for t, c in zip(part[body], texts)]
+                same = [None if i is None else pieces.decode(i) == t for i, t in zip(ids, part[body])]
                 out = {c: part[c] for c in keep}
                 yield pd.DataFrame({**out, "ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "round_trip": same}).astype({"n_ids": "Int64"})
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInPandas(run, T.StructType(fields))
+    return docs.select(*keep, docs[text].alias(body)).mapInPandas(run, T.StructType(fields))
