@@ -1,8 +1,8 @@
 """A corpus pipeline of five stages, each one operator of ``plumbline.llm`` over all that the stage before kept.
 
-Null or empty texts, repeated rows, empty tables and further columns are handled as the operators state. Rows with a null
-id or text have no copies to be dropped for and are kept by every filtering stage but the classifier, which scores an
-empty text like any other. All stages but the last return the columns of ``documents``.
+Null or empty texts, repeated rows, empty tables and further columns are handled as the operators state. Rows without a text
+have no copies to be dropped for and are kept by every filtering stage but the classifier, which scores an
+empty text like any other; rows without an id are documents of their own, which come last in a group of copies. All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -32,10 +32,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents stays."""
-    found = jaccard_join.components(docs).select(F.col("doc_id").alias("_doc"), F.col("component_id").alias("_first")).distinct()
-    later = found.filter("_first < _doc").select("_doc")
-    kept = docs.join(later, docs["doc_id"] == F.col("_doc"), "left_anti")
+    """The document with the smallest id of each group of linked documents stays; of one id with several texts each is a document."""
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
+    several = rows.groupBy("doc_id").agg((F.min("_h") != F.max("_h")).alias("_several")).filter("_several or doc_id is null").select(F.col("doc_id").alias("_id"))
+    named = rows.join(several.withColumn("_several", F.lit(True)), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    named = named.select("doc_id", "text", "_h", F.when(F.col("_several"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")).alias("_key"))
+    named = save(named, "near-named")
+    found = jaccard_join.components(named.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    members = named.select("doc_id", "_h", "_key").distinct().join(found, "_key")
+    first = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_key")).alias("_first"))
+    later = members.join(first, "_group").filter(F.col("_key") != F.col("_first._key")).select(F.col("doc_id").alias("_id"), "_h")
+    kept = docs.join(later, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
     # rows with the same id are copies of each other only if their texts are equal
     return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])
 
