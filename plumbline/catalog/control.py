@@ -645,7 +645,7 @@ def mart_inventory(spark, sf):
         "dataset_name", "row_count", "owner", "bi_readiness_status", "artifact_status")
 
 
-@query("SNK-11 SNK-15 UDF-3", """
+@query("SNK-11 UDF-3", """
     select run_id, dataset_name, reasons as reason_codes, '' as not_there from trust""")
 def flat_export(spark, sf):
     """Trust rows as flat text cells; a column that is not there comes out empty."""

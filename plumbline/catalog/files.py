@@ -46,7 +46,7 @@ def landing_csv_two_headers(spark, sf):
         F.count_if(is_blank(F.col("user_id"))).alias("without_user"), F.count("topic").alias("with_topic"))
 
 
-@query("SRC-3 SRC-9", """
+@query("SRC-3", """
     select event_type, count(*) as n, count(distinct session_id) as sessions, min(event_time) as first_time
     from raw_behavior group by 1""")
 def landing_json_lines(spark, sf):
@@ -58,7 +58,22 @@ def landing_json_lines(spark, sf):
         F.min("event_time").alias("first_time"))
 
 
-@query("Q-4 Q-5 Q-8 Q-20 SRC-2", """
+@query("SRC-2", """
+    select priority, count(*) as tickets, count(distinct ticket_id) as ids, min(ticket_id) as first_ticket,
+      count(*) filter (where user_id = '') as without_user from raw_support group by 1""")
+def landing_json_documents(spark, sf):
+    """Tickets as JSON documents that hold their rows under ``records``, one file for each stretch of 500 events."""
+    root, rows = scratch(spark), view(spark, sf, "raw_support")
+    record = F.struct(*[c for c in rows.columns if c != "_pos"])
+    documents = rows.groupBy(F.floor(F.col("_pos") / 500).alias("_doc")).agg(F.to_json(F.struct(F.collect_list(record).alias("records"))).alias("value"))
+    documents.write.partitionBy("_doc").text(root)
+    landed = landing.read_json_group(spark, [root], "{")
+    return landed.groupBy("priority").agg(
+        F.count(F.lit(1)).alias("tickets"), F.countDistinct("ticket_id").alias("ids"), F.min("ticket_id").alias("first_ticket"),
+        F.count_if(F.col("user_id") == "").alias("without_user"))
+
+
+@query("Q-4 Q-5 Q-8 Q-20", """
     with t as (select *, case status when 'open' then 'full' when 'pending' then 'lean' else 'odd' end as kind,
         case when priority not in ('low', 'Medium', 'HIGH', 'urgent') then 1 else 0 end as bad from raw_support),
       n as (select kind, count(*) as row_count, sum(bad) as bad, round(count(*) filter (where user_id = '') / count(*), 4) > 0.05 as blank from t group by 1)
@@ -148,7 +163,7 @@ def export_manifest(spark, sf):
     return export.write_exports(spark, exports, scratch(spark)).select("file", "status", "row_count")
 
 
-@query("SNK-6 SNK-7 SNK-14", """
+@query("SNK-6", """
     select source_system, layer, count(*) as loads, cast(sum(row_count) as bigint) as row_count,
       cast(sum(rejected_count) as bigint) as rejected_count from load_log group by 1, 2""")
 def load_log_appended(spark, sf):

@@ -219,7 +219,7 @@ def schema_fingerprints(spark, sf):
     return drift.snapshots(_typed_fields(spark, sf), ["source_system", "day"]).drop("fields")
 
 
-@query("Q-3 WIN-4 SET-2", """
+@query("Q-3 WIN-4", """
     with marked as (select *, lag(fingerprint) over w as prev, row_number() over w as n from schema_prints
         window w as (partition by source_system order by day)),
       changes as (select f.source_system, f.day, count(*) filter (where f.data_type <> p.data_type) as type_changes
@@ -314,7 +314,7 @@ def reconciliation(spark, sf):
 
 # -- personal data --------------------------------------------------------------------------
 
-@query("GOV-1 LIM-1", """
+@query("GOV-1", """
     select * from (
       select 'documents' as dataset_name, 'text' as column_name, 'email' as value_type,
         count(*) filter (where regexp_matches(trim(text), '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}')) as match_count from documents

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from plumbline.operators.dedupe import REASON, accepted, first_reason, rejected
 from plumbline.operators.standardize import standardize
 from plumbline.plans import marts
 from plumbline.plans.staging import STAGING
+from plumbline.session import ensure_checkpoint_dir
 from plumbline.sinks import lake
 from plumbline.sources import landing
 from plumbline.sources.bronze import enrich
@@ -130,7 +133,7 @@ def silver_crm_support(spark, sf):
     return silver(spark, sf, "crm_support")
 
 
-@query("SPLIT-1 FLT-3 WIN-1 SNK-14", """select transaction_id, customer_id, status, cast(amount as double) as amount, _reject_reason
+@query("SPLIT-1 FLT-3 WIN-1", """select transaction_id, customer_id, status, cast(amount as double) as amount, _reject_reason
     from marked_orders where _reject_reason is not null""")
 def rejected_orders(spark, sf):
     return doubles(rejected(marked(spark, sf, "ecommerce_transactions")), "amount").select(
@@ -235,7 +238,7 @@ def null_and_set_predicates(spark, sf):
 
 # -- facts, dimensions, marts ---------------------------------------------------------------
 
-@query("PRJ-17 SNK-10", """select transaction_id, customer_id, product_id, campaign_id, order_ts, cast(order_ts as date) as order_date,
+@query("PRJ-17", """select transaction_id, customer_id, product_id, campaign_id, order_ts, cast(order_ts as date) as order_date,
       status, quantity, cast(amount as double) as amount,
       cast(case when status = 'completed' then amount else 0 end as double) as completed_revenue from silver_orders""")
 def fact_orders(spark, sf):
@@ -322,7 +325,7 @@ def negative_revenue_days(spark, sf):
     return marts.negative_revenue(revenue(spark, sf)).select("order_date", "gross_revenue")
 
 
-@query("AGG-1 SRC-11 SNK-12", """select cast(order_ts as date) as order_date, count(*) filter (where status = 'completed') as completed_orders,
+@query("AGG-1 SRC-11", """select cast(order_ts as date) as order_date, count(*) filter (where status = 'completed') as completed_orders,
       cast(sum(case when status = 'completed' then amount else 0 end) as decimal(18,2))::double as gross_revenue,
       count(*) filter (where status = 'refunded') as refund_count, count(*) filter (where status = 'failed') as failed_orders
     from silver_orders group by 1""")
@@ -393,7 +396,9 @@ def insert_if_absent(spark, sf):
 def runs_by_tier(spark, sf):
     from plumbline.config import DATASET_TIERS
 
-    tiers = spark.createDataFrame(DATASET_TIERS, "dataset_name string, criticality_tier string, owner string, sla_hours int")
+    kinds, path = "dataset_name string, criticality_tier string, owner string, sla_hours int", f"{ensure_checkpoint_dir(spark)}/tiers-{uuid.uuid4().hex}"
+    spark.createDataFrame(DATASET_TIERS, kinds).write.option("header", True).csv(path)
+    tiers = F.broadcast(landing.read_seed(spark, path, kinds))  # a seed has a row a dataset
     runs = view(spark, sf, "run_states").groupBy("dataset_name").agg(F.count(F.lit(1)).alias("n"))
     return runs.join(tiers, "dataset_name").groupBy("criticality_tier").agg(
         F.count(F.lit(1)).alias("datasets"), F.sum("n").alias("runs"))

@@ -46,6 +46,33 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
         F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"))
 
 
+#: log2 of the registers of a distinct sketch, and three of its standard errors
+SKETCH_SIZE = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_SIZE / 2)
+
+
+def profile_sketches(df: DataFrame, by: list[str]) -> DataFrame:
+    """Per group (file) and column: row_count, null_count and a mergeable sketch of its distinct values, in one pass."""
+    columns = data_columns(df)
+    blank = {c: is_blank(F.col(f"`{c}`")) for c in columns}
+    aggregates = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(columns):
+        aggregates.append(count_when(blank[c]).alias(f"__n{i}"))
+        aggregates.append(F.hll_sketch_agg(F.when(~blank[c], F.col(f"`{c}`").cast("string")), F.lit(SKETCH_SIZE)).alias(f"__d{i}"))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"__n{i}").alias("null_count"), F.col(f"__d{i}").alias("distinct_sketch"))
+             for i, c in enumerate(columns)]
+    facts = df.groupBy(*by).agg(*aggregates)
+    return facts.select(*by, F.col("__rows").alias("row_count"), F.explode(F.array(*cells)).alias("c")).select(*by, "row_count", "c.*")
+
+
+def merge_profiles(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Stored profiles of files added up per ``by`` and column; no value is read again."""
+    by = by or []
+    return sketches.groupBy(*by, "column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_estimate"))
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """Row and column counts and surplus copies of whole rows.
 

@@ -125,6 +125,13 @@ def warehouse_rows(df: DataFrame, columns: list[str], optional_text: tuple[str,
     return df.select(*[cell(name) for name in columns])
 
 
+def child_rows(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """One row for each item of an array column, with the keys of its parent and its position; the fields of a struct are columns."""
+    rows = df.select(*keys, F.posexplode(column).alias("position", "item")).withColumn("position", F.col("position").cast("bigint"))
+    item = df.schema[column].dataType.elementType
+    return rows.select(*keys, "position", "item.*") if isinstance(item, T.StructType) else rows
+
+
 # Columns of the warehouse control tables.
 CONTRACT_VALIDATION_COLUMNS = [
     "source_system", "dataset_name", "validated_at", "observed_at", "owner", "business_domain",

@@ -237,6 +237,11 @@ def read_silver_csv(spark: SparkSession, path: str, required: set[str]) -> DataF
     return require_columns(spark.read.option("header", True).csv(path), required)
 
 
+def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small headed CSV table with declared types; a row that does not fit them raises."""
+    return spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
+
+
 def read_csv_or_empty(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Headed CSV, or an empty frame of ``columns`` when the path is missing or unreadable."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
