@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.catalog.registry import query
 from plumbline.catalog.sources import customers, orders, revenue, silver
 from plumbline.catalog.views import table, view
-from plumbline.config import QUALITY_SUITES
+from plumbline.config import CLASSIFICATION, QUALITY_SUITES
 from plumbline.operators import checks, drift, evidence, incremental
 from plumbline.plans import alerts as alerting
 from plumbline.plans import gates, governance, marts, metrics, observe
@@ -398,48 +398,67 @@ def catalog_refreshed(spark, sf):
         "dataset_name", "owner", "last_refresh", "readiness_status")
 
 
-def _coverage(spark, sf):
-    loads = view(spark, sf, "load_log").groupBy(F.col("source_system").alias("entity")).agg(
-        F.count_if(F.col("layer") == "silver").alias("silver"), F.count_if(F.col("rejected_count") > 0).alias("rejects"))
-    sources = loads.select(
-        "entity", F.lit(True).alias("source_contract"), (F.col("silver") > 0).alias("schema_registry"),
-        (F.col("rejects") > 0).alias("quality_report"), F.lit(False).alias("catalog"),
-        F.col("entity").isin("ecommerce_transactions", "customer_behavior", "crm_support").alias("pii_classification"),
-        F.lit(True).alias("slo_report"))
-    gold = view(spark, sf, "run_states").groupBy(F.col("dataset_name").alias("entity")).agg(
-        F.count_if(F.col("quality_status") == "failed").alias("bad")).select(
-        "entity", F.lit(True).alias("catalog"),
-        F.col("entity").isin("gold_revenue_analytics", "gold_customer_analytics").alias("pii_classification"),
-        F.lit(True).alias("semantic_validation"), F.lit(True).alias("reconciliation"), F.lit(True).alias("certification"),
-        F.lit(True).alias("release_gate"), (F.col("bad") == 0).alias("audit_manifest"))
-    return governance.control_matrix(sources, gold)
-
-
-COVERAGE = """
-    select count(*) filter (where kind = 'source') as source_count, count(*) filter (where kind = 'gold') as gold_dataset_count,
-      cast(sum(covered) as bigint) as covered_count, cast(sum(total) as bigint) as flag_count,
-      round(cast(sum(covered) as bigint) / cast(sum(total) as bigint), 4) as control_coverage_pct from (
-      select 'source' as kind, source_system, 2 + (case when count(*) filter (where layer = 'silver') > 0 then 1 else 0 end)
-        + (case when count(*) filter (where rejected_count > 0) > 0 then 1 else 0 end)
-        + (case when source_system in ('ecommerce_transactions', 'customer_behavior', 'crm_support') then 1 else 0 end) as covered, 6 as total
-      from load_log group by 2
-      union all select 'gold', dataset_name, 5 + (case when dataset_name in ('gold_revenue_analytics', 'gold_customer_analytics') then 1 else 0 end)
-        + (case when count(*) filter (where quality_status = 'failed') = 0 then 1 else 0 end), 7 from run_states group by 2)"""
-
-
-@query("OBS-15 AGG-21 SET-4", COVERAGE)
+def _evidence(spark, sf) -> dict:
+    """The table behind each control; a NULL entity stands for a report on everything."""
+    loads, runs = view(spark, sf, "load_log"), view(spark, sf, "run_states")
+    source, dataset = F.col("source_system").alias("entity"), F.col("dataset_name").alias("entity")
+    whole = F.lit(None).cast("string").alias("entity")
+    return {
+        "source_contract": observe.contract_table(spark).select(source),
+        "schema_registry": loads.where("layer = 'silver' and schema_version = 3").select(source),
+        "quality_report": loads.where("rejected_count > 0").select(source),
+        "catalog": governance.catalog_table(spark).select(dataset),
+        "pii_classification": governance.classified(spark),
+        "slo_report": loads.where("row_count > 100").select(source),
+        "semantic_validation": runs.where("row_count > 0").select(whole),
+        "reconciliation": runs.where("row_count < 0").select(whole),
+        "certification": runs.where("quality_status = 'passed' and freshness_status = 'passed'").select(dataset),
+        "release_gate": view(spark, sf, "alerts").select(dataset),
+        "audit_manifest": runs.groupBy("dataset_name").agg(F.count_if(F.col("schema_status") == "breaking_drift").alias("bad")).where("bad < 3").select(dataset),
+    }
+
+
+def _coverage(spark, sf, without=()):
+    entities = view(spark, sf, "load_log").select(F.col("source_system").alias("entity"), F.lit("source").alias("entity_type")).unionByName(
+        view(spark, sf, "run_states").select(F.col("dataset_name").alias("entity"), F.lit("gold_dataset").alias("entity_type")))
+    return governance.derived_controls(entities, {k: v for k, v in _evidence(spark, sf).items() if k not in without})
+
+
+CLASSIFIED = ", ".join(f"'{r}'" for r in sorted({n.removeprefix(p) for n in CLASSIFICATION for p in ("", "silver_")}))
+CONTROL_FLAGS = f"""
+    sources as (select source_system as entity, 'source' as entity_type, source_system in (select source_system from contracts) as source_contract,
+        count(*) filter (where layer = 'silver' and schema_version = 3) > 0 as schema_registry, count(*) filter (where rejected_count > 0) > 0 as quality_report,
+        source_system in (select dataset_name from catalog) as catalog, source_system in ({CLASSIFIED}) as pii_classification,
+        count(*) filter (where row_count > 100) > 0 as slo_report from load_log group by 1),
+    marts as (select dataset_name as entity, 'gold_dataset' as entity_type, dataset_name in (select dataset_name from catalog) as catalog,
+        dataset_name in ({CLASSIFIED}) as pii_classification, (select count(*) from run_states where row_count > 0) > 0 as semantic_validation,
+        (select count(*) from run_states where row_count < 0) > 0 as reconciliation,
+        count(*) filter (where quality_status = 'passed' and freshness_status = 'passed') > 0 as certification,
+        dataset_name in (select dataset_name from alerts) as release_gate,
+        count(*) filter (where schema_status = 'breaking_drift') < 3 as audit_manifest from run_states group by 1),
+    flags as (unpivot (select * from sources) on columns(* exclude (entity, entity_type)) into name control value covered
+      union all unpivot (select * from marts) on columns(* exclude (entity, entity_type)) into name control value covered)"""
+
+
+@query("OBS-15 AGG-21 SET-4", f"""
+    with {CONTROL_FLAGS}, kept as (select 'all' as tables, entity, entity_type, covered from flags
+        union all select 'no contracts', entity, entity_type, covered and control <> 'source_contract' from flags)
+    select tables, count(distinct entity) filter (where entity_type = 'source') as source_count,
+      count(distinct entity) filter (where entity_type = 'gold_dataset') as gold_dataset_count,
+      count(*) filter (where covered) as covered_count, count(*) as flag_count,
+      round(count(*) filter (where covered) / count(*), 4) as control_coverage_pct from kept group by 1""")
 def control_coverage(spark, sf):
-    return governance.control_coverage(_coverage(spark, sf))
+    """Coverage by the tables that prove controls, and with the contracts taken away: it falls."""
+    both = [governance.control_coverage(_coverage(spark, sf, without)).withColumn("tables", F.lit(name))
+            for name, without in (("all", ()), ("no contracts", ("source_contract",)))]
+    return both[0].unionByName(both[1])
 
 
-@query("OBS-15", """
-    select source_system as entity, 'source' as entity_type,
-      (case when source_system in ('ecommerce_transactions', 'customer_behavior', 'crm_support') then 'pii_classification, ' else '' end)
-      || (case when count(*) filter (where rejected_count > 0) > 0 then 'quality_report, ' else '' end)
-      || (case when count(*) filter (where layer = 'silver') > 0 then 'schema_registry, ' else '' end) || 'slo_report, source_contract' as covered_controls
-    from load_log group by 1""")
+@query("OBS-15", f"""
+    with {CONTROL_FLAGS} select entity, entity_type, coalesce(string_agg(control, ', ' order by control) filter (where covered), '') as covered_controls,
+      coalesce(string_agg(control, ', ' order by control) filter (where not covered), '') as missing_controls from flags group by 1, 2""")
 def control_lists(spark, sf):
-    return governance.control_lists(_coverage(spark, sf)).where("entity_type = 'source'").drop("missing_controls")
+    return governance.control_lists(_coverage(spark, sf))
 
 
 @query("AGG-22", """

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.config import CATALOG, CATALOG_FIELDS
+from plumbline.config import CATALOG, CATALOG_FIELDS, CLASSIFICATION
 from plumbline.functions.casts import is_blank
 
 # Fields a catalog entry must fill, and the storage price per GiB and month.
@@ -106,6 +108,35 @@ def control_matrix(sources: DataFrame, gold: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True)
 
 
+def derived_controls(entities: DataFrame, evidence: dict[str, DataFrame]) -> DataFrame:
+    """The control matrix of ``entities`` (entity, entity_type) from the tables that prove each control.
+
+    ``evidence`` maps a control to a table with ``entity``: an entity is covered if the table has a row of it, and a row whose entity
+    is NULL stands for all (a report on the whole run). Every table gives one bit, and one aggregate gathers them; a control
+    without a table, or whose table is empty, is missing everywhere.
+    """
+    controls = list(dict.fromkeys([*SOURCE_CONTROLS, *GOLD_CONTROLS]))
+    none = entities.sparkSession.createDataFrame([], "entity string, bit bigint")
+    bits = reduce(DataFrame.unionByName, [
+        rows.select(F.col("entity").cast("string").alias("entity"), F.lit(1 << controls.index(name)).cast("bigint").alias("bit"))
+        for name, rows in evidence.items()], none)
+    found = bits.groupBy("entity").agg(F.bit_or("bit").alias("bits"))
+    everyone = found.where("entity is null").agg(F.coalesce(F.max("bits"), F.lit(0)).alias("bits"))
+    own = entities.select("entity", "entity_type").distinct().join(found.where("entity is not null"), "entity", "left")
+    own = own.withColumn("bits", F.coalesce("bits", F.lit(0)).bitwiseOR(everyone.scalar()))
+    applies = {"source": SOURCE_CONTROLS, "gold_dataset": GOLD_CONTROLS}
+    return own.select("entity", "entity_type", *[
+        F.when(F.col("entity_type").isin([kind for kind, names in applies.items() if name in names]),
+               F.col("bits").bitwiseAND(F.lit(1 << k).cast("bigint")) != 0).alias(name)
+        for k, name in enumerate(controls)])
+
+
+def classified(spark: SparkSession) -> DataFrame:
+    """Entities with a classification of their personal data; that of a silver table counts for its source too."""
+    names = {name.removeprefix(prefix) for name in CLASSIFICATION for prefix in ("", "silver_")}
+    return spark.createDataFrame([(name,) for name in sorted(names)], "entity string")
+
+
 def control_lists(matrix: DataFrame) -> DataFrame:
     """Covered and missing controls of each entity as sorted lists."""
     controls = [c for c in matrix.columns if c not in ("entity", "entity_type")]

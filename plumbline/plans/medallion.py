@@ -346,6 +346,19 @@ def run_medallion(
             F.when(F.count_if(F.col("status") == "blocked") > 0, "blocked").otherwise("passed")
             .alias("certification_status")), "run_id")), "scorecard")
     write_export_files(run, trust, ready, gate_table, release, quality, versions, reports, alerts, catalog, edges, gold)
+    whole = F.lit(None).cast("string").alias("entity")
+    entities = [(source, "source") for source in SOURCES] + [(mart, "gold_dataset") for mart in gold]
+    controls = run.save(governance.derived_controls(spark.createDataFrame(entities, "entity string, entity_type string"), {
+        "source_contract": reports.select(F.col("source_system").alias("entity")),
+        "schema_registry": versions.select(F.col("source_system").alias("entity")),
+        "quality_report": quality.select(F.regexp_replace("dataset_name", "^silver_", "").alias("entity")),
+        "catalog": catalog.select(F.col("dataset_name").alias("entity")),
+        "pii_classification": governance.classified(spark),
+        "slo_report": source_slo.select(F.col("source_system").alias("entity")),
+        "semantic_validation": runs.select(whole), "reconciliation": totals.select(whole), "certification": certified.select(whole),
+        "release_gate": gate_table.select(whole), "audit_manifest": run.load("export_manifest").select(whole),
+    }), "control_matrix")
+    run.save(governance.control_coverage(controls.drop("run_id")), "control_coverage")
     run.step("release_and_exports", since)
     run.save(spark.createDataFrame(run.steps, "step_name string, duration_seconds double"), "run_steps")
 

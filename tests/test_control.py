@@ -132,3 +132,15 @@ def test_campaign_listed_twice_multiplies(spark):
     campaigns = spark.createDataFrame([("c", "web", 10.0), ("c", "web", 4.0), ("c", "tv", 1.0)], "campaign_id string, channel string, spend double").withColumn("spend", F.col("spend").cast("decimal(18,4)"))
     rows = {(r.campaign_id, r.channel): (r.spend, r.attributed_orders, r.attributed_revenue) for r in marts.gold_marketing_attribution(orders, campaigns).collect()}
     assert rows == {("c", "web"): (10.0, 2, 10.0), ("c", "tv"): (1.0, 1, 5.0), ("unknown", "unknown"): (0.0, 1, 2.0)}
+
+
+def test_controls_follow_the_tables_that_prove_them(spark):
+    """A control holds where its table has the entity, or a row for all; without the table it is missing."""
+    names = lambda *x: spark.createDataFrame([(n,) for n in x], "entity string")
+    entities = spark.createDataFrame([("a", "source"), ("b", "source"), ("m", "gold_dataset"), ("m", "gold_dataset")], "entity string, entity_type string")
+    evidence = {"source_contract": names("a", "b", "other"), "catalog": names("m", "m"), "reconciliation": names(None), "release_gate": names()}
+    got = {r.entity: r.asDict() for r in governance.derived_controls(entities, evidence).collect()}
+    assert got["a"]["source_contract"] and got["a"]["catalog"] is False and got["a"]["reconciliation"] is None and len(got) == 3
+    assert got["m"]["catalog"] and got["m"]["reconciliation"] and got["m"]["release_gate"] is False and got["m"]["source_contract"] is None
+    assert governance.control_coverage(governance.derived_controls(entities, evidence)).first().covered_count == 4
+    assert governance.control_coverage(governance.derived_controls(entities, {})).first().covered_count == 0

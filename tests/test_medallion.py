@@ -97,6 +97,22 @@ def test_contracts(spark, run):
     assert passing == ["PASS"] * 4
 
 
+def test_controls_come_from_the_tables_of_the_run(spark, run):
+    rows = {r.entity: r.asDict() for r in control(spark, run[1], "control_matrix").collect()}
+    assert len(rows) == 15 and rows["crm_support"]["source_contract"] and rows["crm_support"]["catalog"] is False
+    assert rows["gold_revenue_analytics"]["catalog"] and rows["gold_revenue_analytics"]["audit_manifest"] and rows["gold_revenue_analytics"]["slo_report"] is None
+    coverage = control(spark, run[1], "control_coverage").first()
+    assert (coverage.source_count, coverage.gold_dataset_count, coverage.flag_count) == (7, 8, 98) and 0.5 < coverage.control_coverage_pct < 1
+
+
+def test_evidence_holds_every_value(spark, run):
+    rows = {(r.source_system, r.check_name): r.value_list for r in control(spark, run[1], "contract_evidence").collect()}
+    assert rows == {("ecommerce_transactions", "primary_key_unique"): ["N2101"]}
+    gates = {(r.gate_name, tuple(r.value_list)) for r in control(spark, run[1], "exception_evidence").collect()}
+    applied = {(r.gate_name, tuple(r.exception_ids)) for r in control(spark, run[1], "exceptions").collect() if r.exception_applied}
+    assert gates == applied
+
+
 def test_drift(spark, run):
     rows = {r.file_name: r for r in control(spark, run[1], "schema_history").collect()}
     second = rows["orders_0507_v2.csv"]
