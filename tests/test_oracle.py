@@ -18,6 +18,7 @@ QUICK = [
     "quality_suite_before_dedupe", "expectations_orders", "contract_report_support", "inferred_types", "schema_history",
     "column_profile", "table_fingerprints", "reconciliation", "row_count_anomalies", "dataset_trust", "worst_open_alerts",
     "release_gates", "certification_findings", "remediation_gate_tasks", "control_coverage", "business_metrics",
+    "contract_of_json_files", "contract_evidence_pages", "schema_column_sets", "reject_files", "column_profile_sketches",
 ]
 #: a helper that other queries call
 NOT_IN_QUERIES = {"UDF-1"}
