@@ -1,21 +1,26 @@
-"""Bigram language model in Elias-Fano tries, trained and queried by blocks.
+"""N-gram language model of any order in Elias-Fano tries, trained and queried by blocks.
 
 Texts become blocks of packed word codes, written once; nothing larger than a block or a shard is ever held by a task
 and no model is collected, so the model may grow with the corpus.
 
 1. Each block sends its distinct words, with training counts, to the shard of the word's hash. The shard sums the
-   counts and answers with the global count and id of every word.
-2. Each block sends its distinct (context, word) pairs with training counts to the shard of the context; the pairs of a
-   frequent context are spread over several shards by the word.
-3. A shard merges the pairs of all blocks into a trie: a level of contexts, monotone pointers, and a level of
+   counts and answers with the global count and id of every word; frequent words have small ids.
+2. Level 2 of the trie: each block sends its distinct (context, word) pairs with training counts to the shard of the
+   context; the pairs of a frequent context are spread over several shards by the word.
+3. A shard merges the pairs of all blocks into its part of the level: contexts, monotone pointers, and
    successors, each an Elias-Fano sequence, and next to it the quantised probabilities, all in one memory-mapped file. A
-   query finds its context, and then its word by a successor search inside the context's range. Answers are one byte.
-4. Each block sums up its texts: p(w | v) = c(v w) / (c(v) + mass) + mass / (c(v) + mass) * p(w), where p(w) is the
-   add-one share of w. The first word's context is the end token.
+   query finds its context, and then its word by a successor search inside the context's range. Answers are one byte
+   and, for all but the last level, the pair's place in the level and its count.
+4. Level k + 1 is the same with places of level k as contexts, so a context of any length is one whole number, and a
+   frequent one is spread like a frequent word. An n-gram whose shorter form no training text holds is not asked for.
+5. Each block sums up its texts: p(w | h) = c(h w) / (c(h) + mass) + mass / (c(h) + mass) * p(w | h without its first
+   word), down to the add-one share of w. Histories begin with the end token before the text's first word.
 
 Words are runs of bytes other than white space, with A-Z in lower case; every text has one end token. Null texts are empty:
 one token. Null ids are kept. Repeated rows count as often as they stand there. An empty table gives an empty result;
 without training rows every count is 0. Further columns are ignored.
+
+The trie's file is a temporary file of one task, which reads it and lets it go: a lost executor costs that task.
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ END = b""
 NO_ID = -(2 ** 63)
 #: quantised probabilities: codes 1 to 255 are steps of the base 10 logarithm from 0 down; 0 is an unseen pair
 STEP = 9 / 254
-ESCAPE = 65535
+WORD, TOTAL = 1002, 1003
 BLOCKS = "kind int, block bigint, shard int, a binary, b binary, c binary, d binary"
 
 
@@ -49,22 +54,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _packed(codes: np.ndarray) -> tuple[bytes, bytes]:
-    """Two bytes a code; the rare larger ones follow apart."""
-    large = codes >= ESCAPE
-    return np.where(large, ESCAPE, codes).astype(np.uint16).tobytes(), codes[large].astype(np.int32).tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up: as many bytes each as the largest takes, byte by byte side by side, compressed."""
+    import zstandard
+
+    values = np.ascontiguousarray(values, np.int64)
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.view(np.int64).ravel()
+
+
+def _packed_rising(values: np.ndarray) -> bytes:
+    return _packed(np.diff(values, prepend=0))
 
 
-def _unpacked(short: bytes, large: bytes) -> np.ndarray:
-    codes = np.frombuffer(short, np.uint16).astype(np.int32)
-    codes[codes == ESCAPE] = np.frombuffer(large, np.int32)
-    return codes
+def _unpacked_rising(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw))
 
 
 def _to_blocks(shards: int):
     """Kind 0: ids, lengths and codes of a block. Kind 1: its words of one shard, with training counts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
+        import zstandard
         from pyspark import TaskContext
 
         name = TaskContext.get().partitionId() << 24
@@ -79,14 +100,13 @@ def _to_blocks(shards: int):
             by_use = np.argsort(-used, kind="stable")  # frequent words get small codes
             new = np.empty(len(by_use), np.int32)
             new[by_use] = np.arange(len(by_use))
-            short, large = _packed(new[code])
-            rows = [(0, name, -1, np.array(ids, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), short, large)]
+            rows = [(0, name, -1, np.array(ids, np.int64).tobytes(), _packed(np.array(sizes)), _packed(new[code]), b"")]
             words = list(place)
             shard = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in words), np.int64, len(words))
             order = np.argsort(shard, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                text = b"\n".join(words[i] for i in part.tolist())
-                rows.append((1, name, int(shard[part[0]]), text, taught[part].tobytes(), new[part].tobytes(), b""))
+                text = zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[i] for i in part.tolist()))
+                rows.append((1, name, int(shard[part[0]]), text, _packed(taught[part]), _packed(new[part]), b""))
             name += 1
             place.clear()
             place[END] = 0
@@ -115,7 +135,9 @@ def _to_blocks(shards: int):
 
 def _count_words(shards: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = [bytes(x).split(b"\n") for x in pdf["a"]]
+        import zstandard
+
+        words = [zstandard.ZstdDecompressor().decompress(bytes(x)).split(b"\n") for x in pdf["a"]]
         place: dict[bytes, int] = {}
         for own in words:
             for w in own:
@@ -124,65 +146,98 @@ def _count_words(shards: int):
         at = [np.fromiter(map(place.__getitem__, own), np.int64, len(own)) for own in words]
         counts = np.zeros(len(place), np.int64)
         for where, taught in zip(at, pdf["b"]):
-            counts[where] += np.frombuffer(taught, np.int64)  # a block names a word once
+            counts[where] += _unpacked(taught)  # a block names a word once
+        rank = np.empty(len(place), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(place))
         shard = int(pdf["shard"].iloc[0])
-        rows = [(2, int(block), shard, bytes(codes), counts[where].tobytes(), (where * shards + shard).tobytes(), b"")
+        rows = [(WORD, int(block), shard, bytes(codes), _packed(counts[where]), _packed(rank[where] * shards + shard), b"")
                 for block, codes, where in zip(pdf["block"], pdf["c"], at)]
         total = np.array([counts.sum(), (counts > 0).sum()], np.int64).tobytes()
-        return pd.DataFrame([*rows, (3, -1, shard, total, b"", b"", b"")], columns=["kind", "block", "shard", "a", "b", "c", "d"])
+        return pd.DataFrame([*rows, (TOTAL, -1, shard, total, b"", b"", b"")], columns=["kind", "block", "shard", "a", "b", "c", "d"])
 
     return run
 
 
-class _Block:
-    """A block with the answers to its words: its texts' tokens and its distinct known pairs, dealt to shards."""
+class _Level:
+    """The distinct n-grams of one level in a block, dealt to shards, and which of them each token ends."""
 
-    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, shards: int):
-        own = rows.iloc[0]
-        self.ids, sizes = np.frombuffer(own["a"], np.int64), np.frombuffer(own["b"], np.int64)
-        self.size, self.train = sizes >> 1, (sizes & 1).astype(bool)
-        self.codes = _unpacked(own["c"], own["d"])
-        n = sum(len(x) // 4 for x in answers["a"])
-        self.count, self.word = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for codes, counts, ids in zip(answers["a"], answers["b"], answers["c"]):
-            at = np.frombuffer(codes, np.int32)
-            self.count[at], self.word[at] = np.frombuffer(counts, np.int64), np.frombuffer(ids, np.int64)
-        ends = np.cumsum(self.size)
-        self.first = ends - self.size
-        before = np.empty_like(self.codes)
-        before[1:] = self.codes[:-1]
-        before[self.first] = self.codes[ends - 1]  # the end token
-        self.before = before
-        key = before.astype(np.int64) * n + self.codes
-        self.known = (self.count[before] > 0) & (self.count[self.codes] > 0)
-        pairs, self.at = np.unique(key[self.known], return_inverse=True)
-        weight = np.repeat(self.train, self.size)[self.known]
-        self.taught = np.bincount(self.at, weights=weight, minlength=len(pairs)).astype(np.int64)
-        self.v, self.w = pairs // max(n, 1), pairs % max(n, 1)
+    def __init__(self, key: np.ndarray, asked: np.ndarray, weight: np.ndarray, words: np.ndarray, ids: np.ndarray, counts: np.ndarray, shards: int):
+        """``key``: context and word of the tokens ``asked``; ``ids`` and ``counts`` are those of the contexts."""
+        n = max(len(words), 1)
+        grams, self.at = np.unique(key, return_inverse=True)
+        self.asked, self.contexts = asked, grams // n
+        self.taught = np.bincount(self.at, weights=weight, minlength=len(grams)).astype(np.int64)
+        self.context, self.word, self.count = ids[self.contexts], words[grams % n], counts[self.contexts]
         with np.errstate(over="ignore"):
-            spread = 1 + self.count[self.v] // HOT_CONTEXT
-            shard = (_mix(self.word[self.v]) % np.uint64(shards)).astype(np.int64) + (_mix(self.word[self.w] + 1) % spread.astype(np.uint64)).astype(np.int64)
-        self.shard = shard % shards
-        self.order = np.lexsort((self.word[self.w], self.word[self.v], self.shard))
+            spread = (1 + self.count // HOT_CONTEXT).astype(np.uint64)
+            to = (_mix(self.context) % np.uint64(shards)).astype(np.int64) + (_mix(self.word + 1) % spread).astype(np.int64)
+        self.shard = to % shards
+        self.order = np.lexsort((self.word, self.context, self.shard))
+        self.codes, self.found, self.place = np.zeros(len(grams), np.uint8), np.zeros(len(grams), np.int64), np.zeros(len(grams), np.int64)
 
     def parts(self) -> list[np.ndarray]:
-        """Pairs of each shard, by context and word."""
+        """N-grams of each shard, by context and word."""
         if not len(self.order):
             return []
         return np.split(self.order, np.flatnonzero(np.diff(self.shard[self.order])) + 1)
 
+    def take(self, answers: pd.DataFrame):
+        given = {int(s): (a, b, c) for s, a, b, c in zip(answers["shard"], answers["a"], answers["b"], answers["c"])}
+        for part in self.parts():
+            codes, found, place = given[int(self.shard[part[0]])]
+            self.codes[part] = _unpacked(codes)
+            if len(found):
+                hit = part[self.codes[part] > 0]
+                self.found[hit], self.place[hit] = _unpacked(found), _unpacked_rising(place)
+
+    def of_tokens(self, values: np.ndarray, tokens: int, default: int) -> np.ndarray:
+        out = np.full(tokens, default, values.dtype)
+        out[self.asked] = values[self.at]
+        return out
+
+
+class _Block:
+    """A block with the answers to its words and to the levels of the trie below ``level``."""
 
-def _ask(shards: int):
+    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, shards: list[int], level: int):
+        own = rows.iloc[0]
+        self.ids, sizes = np.frombuffer(own["a"], np.int64), _unpacked(own["b"])
+        self.size, self.train = sizes >> 1, (sizes & 1).astype(bool)
+        self.codes = _unpacked(own["c"])
+        names = answers[answers["kind"] == WORD]
+        at = [_unpacked(x) for x in names["a"]]
+        self.count, self.word = np.zeros(sum(map(len, at)), np.int64), np.zeros(sum(map(len, at)), np.int64)
+        for where, counts, ids in zip(at, names["b"], names["c"]):
+            self.count[where], self.word[where] = _unpacked(counts), _unpacked(ids)
+        ends = np.cumsum(self.size)
+        self.first = ends - self.size
+        self.before = np.empty_like(self.codes)
+        self.before[1:] = self.codes[:-1]
+        self.before[self.first] = self.codes[ends - 1]  # the end token
+        weight = np.repeat(self.train, self.size)
+        n = len(self.count)
+        asked = np.flatnonzero((self.count[self.before] > 0) & (self.count[self.codes] > 0))
+        self.levels = [_Level(self.before[asked] * n + self.codes[asked], asked, weight[asked], self.word, self.word, self.count, shards[0])]
+        for k in range(3, level + 1):
+            last = self.levels[-1]
+            last.take(answers[answers["kind"] == k - 1])
+            # a token's context is the n-gram that the token before it ends; both it and the token's own must be in the trie
+            held = last.of_tokens(np.where(last.codes > 0, np.arange(len(last.codes)), -1), len(self.codes), -1)
+            context = np.r_[-1, held[:-1]]
+            context[self.first] = -1
+            asked = np.flatnonzero((context >= 0) & (held >= 0))
+            self.levels.append(_Level(context[asked] * n + self.codes[asked], asked, weight[asked], self.word, last.place, last.found, shards[k - 2]))
+
+
+def _ask(shards: list[int], level: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block, out = _Block(rows, answers, shards), []
-        for part in block.parts():
-            v, first = block.word[block.v[part]], np.flatnonzero(np.r_[True, np.diff(block.word[block.v[part]]) != 0])
-            kind = np.int32 if max(block.word[block.w[part]].max(), v.max()) < 2 ** 31 else np.int64
-            head = np.stack([v[first], np.diff(np.r_[first, len(part)]), block.count[block.v[part]][first]]).astype(np.int64)
-            taught = np.minimum(block.taught[part], 255).astype(np.uint8)
-            large = block.taught[part][taught == 255]
-            out.append((4, int(key[0]), int(block.shard[part[0]]), head.tobytes(), block.word[block.w[part]].astype(kind).tobytes(),
-                        taught.tobytes(), large.astype(np.int64).tobytes()))
+        grams, out = _Block(rows, answers, shards, level).levels[-1], []
+        for part in grams.parts():
+            v = grams.context[part]
+            first = np.flatnonzero(np.diff(v, prepend=-1) != 0)
+            heads = np.r_[np.diff(np.r_[first, len(part)]), grams.count[part][first]]
+            out.append((level, int(key[0]), int(grams.shard[part[0]]), _packed_rising(v[first]), _packed(grams.word[part]), _packed(grams.taught[part]),
+                        _packed(heads)))
         return pd.DataFrame(out, columns=["kind", "block", "shard", "a", "b", "c", "d"])
 
     return run
@@ -279,58 +334,70 @@ class Trie:
         self.file.flush()
         return np.memmap(self.file, values.dtype, "r", start, values.shape)
 
-    def ask(self, v: np.ndarray, sizes: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Codes for words under contexts; ``v`` has each context once, ``sizes`` how many words follow."""
+    def find(self, v: np.ndarray, sizes: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Places of words under contexts, or -1; ``v`` has each context once, ``sizes`` how many words follow."""
         at = np.repeat(self.contexts.find(v), sizes)
-        out = np.zeros(len(w), np.uint8)
+        out = np.full(len(w), -1)
         ok = np.flatnonzero((at >= 0) & (w < self.width))
         found = self.successors.find(at[ok] * self.width + w[ok])
         ok, found = ok[found >= 0], found[found >= 0]
         # the successor search stays between the context's pointers
         inside = (found >= self.pointers[at[ok]]) & (found < self.pointers[at[ok] + 1])
-        out[ok[inside]] = self.codes[found[inside]]
+        out[ok[inside]] = found[inside]
+        return out
+
+    def ask(self, v: np.ndarray, sizes: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Codes for words under contexts; 0 where the trie has none."""
+        place = self.find(v, sizes, w)
+        out = np.zeros(len(place), np.uint8)
+        out[place >= 0] = self.codes[place[place >= 0]]
         return out
 
 
-def _answer(mass: float):
+def _answer(mass: float, shards: int, last: bool):
+    """Merges a shard's n-grams of all blocks into a trie and asks it once for each distinct one."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        heads = [np.frombuffer(x, np.int64).reshape(3, -1) for x in pdf["a"]]
-        taught = []
-        for small, large in zip(pdf["c"], pdf["d"]):
-            n = np.frombuffer(small, np.uint8).astype(np.int64)
-            n[n == 255] = np.frombuffer(large, np.int64)
-            taught.append(n)
-        words = [np.frombuffer(x, np.int32 if len(x) == 4 * len(n) else np.int64).astype(np.int64) for x, n in zip(pdf["b"], taught)]
-        v = np.concatenate([np.repeat(h[0], h[1]) for h in heads])
-        c = np.concatenate([np.repeat(h[2], h[1]) for h in heads])
-        w, n = np.concatenate(words), np.concatenate(taught)
+        ids = [_unpacked_rising(x) for x in pdf["a"]]
+        heads = [_unpacked(x).reshape(2, -1) for x in pdf["d"]]
+        sizes = np.concatenate([h[0] for h in heads])
+        contexts, rank = np.unique(np.concatenate(ids), return_inverse=True)
+        total = np.zeros(len(contexts), np.int64)
+        total[rank] = np.concatenate([h[1] for h in heads])
+        words = [_unpacked(x) for x in pdf["b"]]
+        w = np.concatenate(words)
+        width = int(w.max()) + 1
+        grams, at = np.unique(np.repeat(rank, sizes) * width + w, return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([_unpacked(x) for x in pdf["c"]]), minlength=len(grams)).astype(np.int64)
+        rank, w = grams // width, grams % width
         use = n > 0
-        v, w, n, c = v[use], w[use], n[use], c[use]
-        order = np.lexsort((w, v))
-        v, w, n, c = v[order], w[order], n[order], c[order]
-        first = np.flatnonzero(np.r_[True, (np.diff(v) != 0) | (np.diff(w) != 0)]) if len(v) else np.zeros(0, np.int64)
-        trie = Trie(v[first], w[first], np.add.reduceat(n, first) if len(n) else n, c[first], mass)
-        rows = [(5, int(b), int(s), trie.ask(h[0], h[1], own).tobytes(), b"", b"", b"")
-                for b, s, h, own in zip(pdf["block"], pdf["shard"], heads, words)]
+        trie = Trie(contexts[rank[use]], w[use], n[use], total[rank[use]], mass)
+        place = trie.find(contexts, np.bincount(rank, minlength=len(contexts)), w)
+        codes = np.zeros(len(grams), np.uint8)
+        codes[place >= 0] = trie.codes[place[place >= 0]]
         trie.file.close()
+        shard, rows = int(pdf["shard"].iloc[0]), []
+        for kind, block, own in zip(pdf["kind"], pdf["block"], np.split(at, np.cumsum([len(x) for x in words])[:-1])):
+            hit = own[place[own] >= 0]
+            rows.append((int(kind), int(block), shard, _packed(codes[own]), b"" if last else _packed(n[hit]),
+                         b"" if last else _packed_rising(place[hit] * shards + shard), b""))
         return pd.DataFrame(rows, columns=["kind", "block", "shard", "a", "b", "c", "d"])
 
     return run
 
 
-def _sum_up(shards: int, mass: float, n_train: int, n_words: int):
+def _sum_up(shards: list[int], order: int, mass: float, n_train: int, n_words: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block = _Block(rows, answers[answers["kind"] == 2], shards)
-        given = dict(zip(answers["shard"][answers["kind"] == 5].tolist(), answers["a"][answers["kind"] == 5]))
-        codes = np.zeros(len(block.order), np.uint8)
-        for part in block.parts():
-            codes[part] = np.frombuffer(given[int(block.shard[part[0]])], np.uint8)
+        block = _Block(rows, answers, shards, order)
+        block.levels[-1].take(answers[answers["kind"] == order])
         share = (block.count + 1.0) / (n_train + n_words + 1.0)
-        seen = np.zeros(len(block.codes))
-        code = codes[block.at]
-        seen[block.known] = np.where(code > 0, 10.0 ** (-(code.astype(float) - 1) * STEP), 0.0)
+        p = share[block.codes]
         context = block.count[block.before]
-        p = np.where(context > 0, seen + mass / (context + mass) * share[block.codes], share[block.codes])
+        for grams in block.levels:
+            seen = np.where(grams.codes > 0, 10.0 ** (-(grams.codes.astype(float) - 1) * STEP), 0.0)
+            p = np.where(context > 0, grams.of_tokens(seen, len(p), 0) + mass / (context + mass) * p, p)
+            # the next level's context is the n-gram of this level that the token before ends
+            context = np.r_[0, grams.of_tokens(grams.found, len(p), 0)[:-1]]
+            context[block.first] = 0
         total = np.add.reduceat(np.log10(np.minimum(p, 1.0)), block.first)
         base = np.add.reduceat(np.log10(share)[block.codes], block.first)
         known = np.add.reduceat((block.count[block.codes] > 0).astype(np.int64), block.first)
@@ -340,21 +407,35 @@ def _sum_up(shards: int, mass: float, n_train: int, n_words: int):
     return run
 
 
-def score(docs: DataFrame, train, mass: float = 20.0) -> DataFrame:
-    """doc_id, trained, n_tokens, n_known, train_tokens, base_score, score; ``train`` is a boolean column of ``docs``."""
+def score(docs: DataFrame, train, order: int = 3, mass: float = 20.0) -> DataFrame:
+    """doc_id, trained, n_tokens, n_known, train_tokens, base_score, score; ``train`` is a boolean column of ``docs``.
+
+    ``order`` is the length of the longest n-grams, 2 or more.
+    """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", train.alias("train"))
     # the number of shards follows the size of the input; texts hold a new word every few dozen bytes at most
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    word_shards, pair_shards = int(max(4, size // 40 // WORDS_A_SHARD)), int(max(4, size // 8 // PAIRS_A_SHARD))
+    word_shards = int(max(4, size // 40 // WORDS_A_SHARD))
+    # longer n-grams repeat less, so their levels have more shards
+    shards = [int(max(4, size // (8 if k == 2 else 5) // PAIRS_A_SHARD)) for k in range(2, order + 1)]
+    n_blocks = int(max(8, size // 6 // BLOCK_TOKENS))
+
+    def dealt(df: DataFrame, by: str, parts: int) -> DataFrame:
+        """A shard or block a task or nearly so, whatever the session's number of partitions."""
+        return df.repartition(parts, by).groupBy(by)
+
     blocks = save(rows.mapInPandas(_to_blocks(word_shards), BLOCKS), "model-blocks", by="kind")
     texts = blocks.filter("kind = 0")
-    words = save(blocks.filter("kind = 1").groupBy("shard").applyInPandas(_count_words(word_shards), BLOCKS), "model-words", by="kind")
-    totals = np.sum([np.frombuffer(r["a"], np.int64) for r in words.filter("kind = 3").select("a").collect()] or [[0, 0]], axis=0)
-    known = words.filter("kind = 2")
-    asked = save(texts.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(_ask(pair_shards), BLOCKS), "model-pairs")
-    answers = save(asked.groupBy("shard").applyInPandas(_answer(mass), BLOCKS), "model-answers")
-    both = known.unionByName(answers)
-    out = texts.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(
-        _sum_up(pair_shards, mass, int(totals[0]), int(totals[1])),
+    words = save(dealt(blocks.filter("kind = 1"), "shard", word_shards).applyInPandas(_count_words(word_shards), BLOCKS), "model-words", by="kind")
+    totals = np.sum([np.frombuffer(r["a"], np.int64) for r in words.filter(F.col("kind") == TOTAL).select("a").collect()] or [[0, 0]], axis=0)
+    known = words.filter(F.col("kind") == WORD)
+    for level in range(2, order + 1):
+        asked = save(dealt(texts, "block", n_blocks).cogroup(dealt(known, "block", n_blocks)).applyInPandas(_ask(shards, level), BLOCKS), f"model-asked-{level}")
+        answered = dealt(asked, "shard", shards[level - 2]).applyInPandas(_answer(mass, shards[level - 2], level == order), BLOCKS)
+        known = known.unionByName(save(answered, f"model-answers-{level}"))
+    out = dealt(texts, "block", n_blocks).cogroup(dealt(known, "block", n_blocks)).applyInPandas(
+        _sum_up(shards, order, mass, int(totals[0]), int(totals[1])),
         "id bigint, trained boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "trained", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -207,26 +207,45 @@ def test_language_id_counts_every_word(spark):
     assert few[0][2] == pytest.approx(1 / (1 + math.exp(sums[0] - sums[1])), abs=1e-8)
 
 
-def test_language_model_matches_brute_force(docs, rows):
-    out = language_model.score(docs, F.coalesce(F.col("doc_id") % 3, F.lit(0)) != 2)
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_matches_brute_force(docs, rows, order):
+    out = language_model.score(docs, F.coalesce(F.col("doc_id") % 3, F.lit(0)) != 2, order=order)
     tokens = [(r[1] or "").encode().lower().split() + [b""] for r in rows]
     taught = [(r[0] or 0) % 3 != 2 for r in rows]
-    one, two = Counter(), Counter()
+    grams, contexts = Counter(), Counter()
     for t, yes in zip(tokens, taught):
-        if yes:
-            one.update(t)
-            two.update(zip([b"", *t[:-1]], t))
+        told = [b"", *t]
+        for j in range(len(t) if yes else 0):
+            grams[t[j],] += 1
+            for k in range(1, min(order, j + 2)):
+                grams[tuple(told[j + 1 - k:j + 2])] += 1
+                contexts[tuple(told[j + 1 - k:j + 1])] += 1
+    one = Counter({g[0]: c for g, c in grams.items() if len(g) == 1})
     n, v = sum(one.values()), len(one)
+
+    def chance(history, w):
+        if not history:
+            return (one[w] + 1) / (n + v + 1)
+        return (grams[*history, w] + 20 * chance(history[1:], w)) / (contexts[history] + 20)
+
     expected = []
     for r, t in zip(rows, tokens):
-        share = [(one[w] + 1) / (n + v + 1) for w in t]
-        model = sum(math.log10(min(1.0, (two[a, w] + 20 * p) / (one[a] + 20)) if one[a] else p) if one[a] else math.log10(p)
-                    for a, w, p in zip([b"", *t[:-1]], t, share))
-        expected.append((str(r[0]), len(t), sum(one[w] > 0 for w in t), n, sum(map(math.log10, share)), model))
+        told = [b"", *t]
+        model = sum(math.log10(min(1.0, chance(tuple(told[max(0, j + 2 - order):j + 1]), w))) for j, w in enumerate(t))
+        expected.append((str(r[0]), len(t), sum(one[w] > 0 for w in t), n, sum(math.log10(chance((), w)) for w in t), model))
     got = sorted((str(r[0]), *r[2:]) for r in out.collect())
     for a, b in zip(got, sorted(expected), strict=True):
         assert a[:4] == b[:4] and a[4] == pytest.approx(b[4]) and abs(a[5] - b[5]) <= 0.02 * b[1] + 1e-9
-    assert language_model.score(docs.filter("false"), F.lit(True)).count() == 0
+    assert language_model.score(docs.filter("false"), F.lit(True), order=order).count() == 0
+
+
+def test_language_model_spreads_frequent_contexts(docs, monkeypatch):
+    """What shard an n-gram goes to changes no score."""
+    train = F.coalesce(F.col("doc_id") % 3, F.lit(0)) != 2
+    plain = sorted(map(str, language_model.score(docs, train).collect()))
+    monkeypatch.setattr(language_model, "HOT_CONTEXT", 1)
+    monkeypatch.setattr(language_model, "PAIRS_A_SHARD", 100)
+    assert sorted(map(str, language_model.score(docs, train).collect())) == plain
 
 
 def test_trie_finds_what_it_holds():
