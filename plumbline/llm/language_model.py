@@ -26,19 +26,22 @@ The trie's file is a temporary file of one task, which reads it and lets it go:
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import save
+from plumbline.session import ensure_checkpoint_dir
 
 BLOCK_TOKENS = 1_500_000
 WORDS_A_SHARD = 600_000
 PAIRS_A_SHARD = 2_500_000
 HOT_CONTEXT = 400_000
+#: the engine's own limit; beyond it a bucket holds several blocks, which are still read one by one
+MOST_BUCKETS = 100_000
 END = b""
 NO_ID = -(2 ** 63)
 #: quantised probabilities: codes 1 to 255 are steps of the base 10 logarithm from 0 down; 0 is an unseen pair
@@ -199,8 +202,8 @@ class _Level:
 class _Block:
     """A block with the answers to its words and to the levels of the trie below ``level``."""
 
-    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, shards: list[int], level: int):
-        own = rows.iloc[0]
+    def __init__(self, answers: pd.DataFrame, shards: list[int], level: int):
+        own = answers[answers["kind"] == 0].iloc[0]
         self.ids, sizes = np.frombuffer(own["a"], np.int64), _unpacked(own["b"])
         self.size, self.train = sizes >> 1, (sizes & 1).astype(bool)
         self.codes = _unpacked(own["c"])
@@ -230,8 +233,8 @@ class _Block:
 
 
 def _ask(shards: list[int], level: int):
-    def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams, out = _Block(rows, answers, shards, level).levels[-1], []
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        grams, out = _Block(rows, shards, level).levels[-1], []
         for part in grams.parts():
             v = grams.context[part]
             first = np.flatnonzero(np.diff(v, prepend=-1) != 0)
@@ -386,9 +389,9 @@ def _answer(mass: float, shards: int, last: bool):
 
 
 def _sum_up(shards: list[int], order: int, mass: float, n_train: int, n_words: int):
-    def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block = _Block(rows, answers, shards, order)
-        block.levels[-1].take(answers[answers["kind"] == order])
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        block = _Block(rows, shards, order)
+        block.levels[-1].take(rows[rows["kind"] == order])
         share = (block.count + 1.0) / (n_train + n_words + 1.0)
         p = share[block.codes]
         context = block.count[block.before]
@@ -407,6 +410,25 @@ def _sum_up(shards: list[int], order: int, mass: float, n_train: int, n_words: i
     return run
 
 
+class _State:
+    """Blocks and the answers to them, in one table below the checkpoint folder, bucketed by block.
+
+    Texts are never shuffled and answers once, however many levels read them; the questions are shuffled and not written,
+    so a lost executor costs the blocks it asked for.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets, self.name = spark, buckets, f"model_state_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark)}/{self.name}"
+
+    def add(self, df: DataFrame) -> None:
+        (df.write.mode("append").format("parquet").option("path", self.path).option("compression", "zstd")
+         .partitionBy("kind").bucketBy(self.buckets, "block").saveAsTable(self.name))
+
+    def rows(self, which: Column) -> DataFrame:
+        return self.spark.table(self.name).filter(which)
+
+
 def score(docs: DataFrame, train, order: int = 3, mass: float = 20.0) -> DataFrame:
     """doc_id, trained, n_tokens, n_known, train_tokens, base_score, score; ``train`` is a boolean column of ``docs``.
 
@@ -420,22 +442,17 @@ def score(docs: DataFrame, train, order: int = 3, mass: float = 20.0) -> DataFra
     word_shards = int(max(4, size // 40 // WORDS_A_SHARD))
     # longer n-grams repeat less, so their levels have more shards
     shards = [int(max(4, size // (8 if k == 2 else 5) // PAIRS_A_SHARD)) for k in range(2, order + 1)]
-    n_blocks = int(max(8, size // 6 // BLOCK_TOKENS))
-
-    def dealt(df: DataFrame, by: str, parts: int) -> DataFrame:
-        """A shard or block a task or nearly so, whatever the session's number of partitions."""
-        return df.repartition(parts, by).groupBy(by)
-
-    blocks = save(rows.mapInPandas(_to_blocks(word_shards), BLOCKS), "model-blocks", by="kind")
-    texts = blocks.filter("kind = 0")
-    words = save(dealt(blocks.filter("kind = 1"), "shard", word_shards).applyInPandas(_count_words(word_shards), BLOCKS), "model-words", by="kind")
-    totals = np.sum([np.frombuffer(r["a"], np.int64) for r in words.filter(F.col("kind") == TOTAL).select("a").collect()] or [[0, 0]], axis=0)
-    known = words.filter(F.col("kind") == WORD)
-    for level in range(2, order + 1):
-        asked = save(dealt(texts, "block", n_blocks).cogroup(dealt(known, "block", n_blocks)).applyInPandas(_ask(shards, level), BLOCKS), f"model-asked-{level}")
-        answered = dealt(asked, "shard", shards[level - 2]).applyInPandas(_answer(mass, shards[level - 2], level == order), BLOCKS)
-        known = known.unionByName(save(answered, f"model-answers-{level}"))
-    out = dealt(texts, "block", n_blocks).cogroup(dealt(known, "block", n_blocks)).applyInPandas(
+    buckets = int(min(MOST_BUCKETS, max(8, size // 6 // BLOCK_TOKENS)))
+    state = _State(docs.sparkSession, buckets)
+    state.add(rows.mapInPandas(_to_blocks(word_shards), BLOCKS))
+    asked = state.rows(F.col("kind") == 1).repartition(word_shards, "shard")
+    state.add(asked.groupBy("shard").applyInPandas(_count_words(word_shards), BLOCKS).repartition(buckets, "block"))
+    totals = np.sum([np.frombuffer(r["a"], np.int64) for r in state.rows(F.col("kind") == TOTAL).select("a").collect()] or [[0, 0]], axis=0)
+    mine = ~F.col("kind").isin(1, TOTAL)
+    for level, parts in enumerate(shards, 2):
+        asked = state.rows(mine).groupBy("block").applyInPandas(_ask(shards, level), BLOCKS).repartition(parts, "shard")
+        state.add(asked.groupBy("shard").applyInPandas(_answer(mass, parts, level == order), BLOCKS).repartition(buckets, "block"))
+    out = state.rows(mine).groupBy("block").applyInPandas(
         _sum_up(shards, order, mass, int(totals[0]), int(totals[1])),
         "id bigint, trained boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "trained", "n_tokens", "n_known", "train_tokens", "base_score", "score")
