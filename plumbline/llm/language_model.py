@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,20 @@ def _unpacked_rising(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(raw))
 
 
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the place among them of each element; values from 0 up."""
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + bits > 63:
+        return np.unique(key, return_inverse=True)
+    # values are sorted together with their places, which is several times faster than sorting places by value
+    both = np.sort((key << bits) | np.arange(len(key)))
+    key, place = both >> bits, both & ((1 << bits) - 1)
+    new = np.r_[True, key[1:] != key[:-1]]
+    at = np.empty(len(key), np.int64)
+    at[place] = np.cumsum(new) - 1
+    return key[new], at
+
+
 def _to_blocks(shards: int):
     """Kind 0: ids, lengths and codes of a block. Kind 1: its words of one shard, with training counts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +107,7 @@ def _to_blocks(shards: int):
         from pyspark import TaskContext
 
         name = TaskContext.get().partitionId() << 24
-        place, ids, sizes, codes, held = {END: 0}, [], [], [], 0
+        place, ids, sizes, codes, held = defaultdict(lambda: len(place), {END: 0}), [], [], [], 0
 
         def out() -> pd.DataFrame:
             nonlocal name, held
@@ -121,9 +136,6 @@ def _to_blocks(shards: int):
             for doc_id, text, train in zip(batch["id"].tolist(), batch["text"], batch["train"].tolist()):
                 words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
                 words.append(END)
-                for w in dict.fromkeys(words):
-                    if w not in place:
-                        place[w] = len(place)
                 codes.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
                 ids.append(doc_id)
                 sizes.append(len(words) * 2 + int(train))
@@ -165,9 +177,9 @@ class _Level:
     """The distinct n-grams of one level in a block, dealt to shards, and which of them each token ends."""
 
     def __init__(self, key: np.ndarray, asked: np.ndarray, weight: np.ndarray, words: np.ndarray, ids: np.ndarray, counts: np.ndarray, shards: int):
-        """``key``: context and word of the tokens ``asked``; ``ids`` and ``counts`` are those of the contexts."""
+        """``key``: context and word of the tokens ``asked``, both numbered by id; ``ids`` and ``counts`` are those of the contexts."""
         n = max(len(words), 1)
-        grams, self.at = np.unique(key, return_inverse=True)
+        grams, self.at = _distinct(key)
         self.asked, self.contexts = asked, grams // n
         self.taught = np.bincount(self.at, weights=weight, minlength=len(grams)).astype(np.int64)
         self.context, self.word, self.count = ids[self.contexts], words[grams % n], counts[self.contexts]
@@ -175,7 +187,8 @@ class _Level:
             spread = (1 + self.count // HOT_CONTEXT).astype(np.uint64)
             to = (_mix(self.context) % np.uint64(shards)).astype(np.int64) + (_mix(self.word + 1) % spread).astype(np.int64)
         self.shard = to % shards
-        self.order = np.lexsort((self.word, self.context, self.shard))
+        # n-grams are in order of context and word already
+        self.order = np.argsort(self.shard.astype(np.min_scalar_type(shards)), kind="stable")
         self.codes, self.found, self.place = np.zeros(len(grams), np.uint8), np.zeros(len(grams), np.int64), np.zeros(len(grams), np.int64)
 
     def parts(self) -> list[np.ndarray]:
@@ -212,6 +225,10 @@ class _Block:
         self.count, self.word = np.zeros(sum(map(len, at)), np.int64), np.zeros(sum(map(len, at)), np.int64)
         for where, counts, ids in zip(at, names["b"], names["c"]):
             self.count[where], self.word[where] = _unpacked(counts), _unpacked(ids)
+        by_id = np.argsort(self.word)
+        rank = np.empty_like(by_id)
+        rank[by_id] = np.arange(len(by_id))
+        self.codes, self.count, self.word = rank[self.codes], self.count[by_id], self.word[by_id]
         ends = np.cumsum(self.size)
         self.first = ends - self.size
         self.before = np.empty_like(self.codes)
@@ -225,11 +242,15 @@ class _Block:
             last = self.levels[-1]
             last.take(answers[answers["kind"] == k - 1])
             # a token's context is the n-gram that the token before it ends; both it and the token's own must be in the trie
-            held = last.of_tokens(np.where(last.codes > 0, np.arange(len(last.codes)), -1), len(self.codes), -1)
+            hit = np.flatnonzero(last.codes)
+            hit = hit[np.argsort(last.place[hit])]
+            rank = np.full(len(last.codes), -1)
+            rank[hit] = np.arange(len(hit))
+            held = last.of_tokens(rank, len(self.codes), -1)
             context = np.r_[-1, held[:-1]]
             context[self.first] = -1
             asked = np.flatnonzero((context >= 0) & (held >= 0))
-            self.levels.append(_Level(context[asked] * n + self.codes[asked], asked, weight[asked], self.word, last.place, last.found, shards[k - 2]))
+            self.levels.append(_Level(context[asked] * n + self.codes[asked], asked, weight[asked], self.word, last.place[hit], last.found[hit], shards[k - 2]))
 
 
 def _ask(shards: list[int], level: int):
@@ -246,12 +267,16 @@ def _ask(shards: list[int], level: int):
     return run
 
 
+#: place of the k-th zero bit of each byte
+ZERO_IN_BYTE = np.argsort((np.arange(256)[:, None] >> np.arange(8)) & 1, axis=1, kind="stable")
+
+
 class EliasFano:
     """A sorted sequence of whole numbers: low bits packed side by side, high bits in unary; both may be memory-mapped."""
 
     def __init__(self, values: np.ndarray, mapped):
         n, top = len(values), int(values[-1]) + 1 if len(values) else 1
-        self.n, self.bits = n, max(0, int(np.floor(np.log2(max(top / max(n, 1), 1)))))
+        self.n, self.bits = n, min(56, max(0, int(np.floor(np.log2(max(top / max(n, 1), 1))))))
         low = values & ((1 << self.bits) - 1)
         if self.bits:
             packed = np.zeros((n * self.bits + 7) // 8 + 8, np.uint8)
@@ -260,7 +285,8 @@ class EliasFano:
                 bits = ((part[:, None] >> np.arange(self.bits)) & 1).astype(np.uint8)
                 raw = np.packbits(bits.ravel(), bitorder="little")
                 packed[lo * self.bits // 8:lo * self.bits // 8 + len(raw)] = raw
-            self.low = mapped(packed)
+            packed = mapped(packed)
+            self.low = np.ndarray((len(packed) - 7,), "<u8", buffer=packed, strides=(1,))  # eight bytes from any byte on
         high = values >> self.bits
         # a one for each value, a zero after each high part; zeros are counted up to every 64th place
         unary = np.zeros(-(-(int(high[-1]) + n + 1 if n else 1) // 64) * 64, np.uint8)
@@ -274,20 +300,21 @@ class EliasFano:
         if not self.bits:
             return np.zeros(len(at), np.int64)
         bit = at * self.bits
-        out = np.zeros(len(at), np.int64)
-        byte, shift = bit >> 3, bit & 7
-        for k in range((self.bits + 14) // 8):
-            out |= (self.low[byte + k].astype(np.int64) << (8 * k)) >> shift if 8 * k < 56 else 0
-        return out & ((1 << self.bits) - 1)
+        return ((self.low[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def zero(self, k: np.ndarray) -> np.ndarray:
-        """Places of the k-th zeros of the unary code."""
+        """Places of the k-th zeros of the unary code: word, byte and bit by counts of zeros."""
         out = np.empty(len(k), np.int64)
         for lo in range(0, len(k), 1 << 17):
             part = k[lo:lo + (1 << 17)]
             word = np.searchsorted(self.before, part, "right") - 1
-            passed = np.cumsum(np.unpackbits(self.high[word], axis=1, bitorder="little") == 0, axis=1, dtype=np.uint8)
-            out[lo:lo + (1 << 17)] = word * 64 + (passed > (part - self.before[word])[:, None]).argmax(axis=1)
+            left = part - self.before[word]
+            raw = self.high[word]
+            passed = np.cumsum(8 - np.bitwise_count(raw), axis=1, dtype=np.uint8)
+            byte = (passed > left[:, None]).argmax(axis=1)
+            at = np.arange(len(part))
+            left -= np.where(byte > 0, passed[at, byte - 1], 0)
+            out[lo:lo + (1 << 17)] = word * 64 + byte * 8 + ZERO_IN_BYTE[raw[at, byte], left]
         return out
 
     def run(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -363,13 +390,13 @@ def _answer(mass: float, shards: int, last: bool):
         ids = [_unpacked_rising(x) for x in pdf["a"]]
         heads = [_unpacked(x).reshape(2, -1) for x in pdf["d"]]
         sizes = np.concatenate([h[0] for h in heads])
-        contexts, rank = np.unique(np.concatenate(ids), return_inverse=True)
+        contexts, rank = _distinct(np.concatenate(ids))
         total = np.zeros(len(contexts), np.int64)
         total[rank] = np.concatenate([h[1] for h in heads])
         words = [_unpacked(x) for x in pdf["b"]]
         w = np.concatenate(words)
         width = int(w.max()) + 1
-        grams, at = np.unique(np.repeat(rank, sizes) * width + w, return_inverse=True)
+        grams, at = _distinct(np.repeat(rank, sizes) * width + w)
         n = np.bincount(at, weights=np.concatenate([_unpacked(x) for x in pdf["c"]]), minlength=len(grams)).astype(np.int64)
         rank, w = grams // width, grams % width
         use = n > 0
@@ -393,11 +420,11 @@ def _sum_up(shards: list[int], order: int, mass: float, n_train: int, n_words: i
         block = _Block(rows, shards, order)
         block.levels[-1].take(rows[rows["kind"] == order])
         share = (block.count + 1.0) / (n_train + n_words + 1.0)
+        seen = np.r_[0.0, 10.0 ** (-np.arange(255) * STEP)]
         p = share[block.codes]
         context = block.count[block.before]
         for grams in block.levels:
-            seen = np.where(grams.codes > 0, 10.0 ** (-(grams.codes.astype(float) - 1) * STEP), 0.0)
-            p = np.where(context > 0, grams.of_tokens(seen, len(p), 0) + mass / (context + mass) * p, p)
+            p = np.where(context > 0, grams.of_tokens(seen[grams.codes], len(p), 0) + mass / (context + mass) * p, p)
             # the next level's context is the n-gram of this level that the token before ends
             context = np.r_[0, grams.of_tokens(grams.found, len(p), 0)[:-1]]
             context[block.first] = 0
