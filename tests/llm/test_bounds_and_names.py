@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -123,3 +124,41 @@ def test_components_of_a_long_chain(spark):
     n = 700
     links = spark.createDataFrame([((i * 37) % n, ((i + 1) * 37) % n) for i in range(n - 1)], "a bigint, b bigint")
     assert {r["label"] for r in jaccard_join.labels(links).collect()} == {0}
+
+
+def statistics_by_hand(text):
+    body = text or ""
+    words = [w for w in re.split("[\x20\x09-\x0D]+", body) if w]
+    lines = [x for x in body.split("\n") if x.strip("\x20\x09\x0A\x0B\x0C\x0D")]
+    chars = sum(map(len, words))
+    count = lambda known: sum(c in known for c in body)
+    share = lambda part, whole: part / whole if whole else 0.0
+    capitals = "".join(map(chr, range(65, 91))) + "!"
+    return [len(words), share(chars, len(words)), share(len(set(words)), len(words)), share(count("#*$%&|<>"), chars), share(count(capitals), chars),
+            share(count("0123456789"), chars), share(count(".?,;:"), len(words)), share(len(words), len(lines)),
+            share(len(lines) - len(set(lines)), len(lines)), share(chars, len(lines))]
+
+
+def test_compiled_rules_score_as_by_hand(spark):
+    """Statistics and the compiled sum of rules against plain Python, on texts with ties, repeats, blanks and one very long text."""
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice(["the", "Quick", "fox!", "#12", "a|b", "x.", "été", "\u2003", "\n", "\t"]) for _ in range(draw.randrange(80))) for _ in range(300)]
+    texts += [None, "", " \n\t", "one", texts[0], texts[0], "long word, " * 60_000]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(statistics_by_hand(t)[3] < 0.05)) for i, t in rows[:250]], "doc_id bigint, quality int")
+    model = quality_classifier.fit(docs, labels)
+    assert model.rules and any(len(parts) > 1 for _, parts in model.rules)
+
+    def expected(text):
+        x = statistics_by_hand(text)
+        held = [weight for weight, parts in model.rules if all((x[at] > cut) == above for at, above, cut in parts)]
+        return 1 / (1 + math.exp(-(model.bias + sum(held))))
+
+    got = quality_classifier.score(docs, model).select("doc_id", F.xxhash64("text").alias("h"), "text", "score").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+    for r in got:
+        assert r["score"] == pytest.approx(expected(r["text"]), abs=1e-9)
+    stats = quality_classifier.with_statistics(docs).collect()
+    for r in stats:
+        assert [r[f"_stat_{k}"] for k in quality_classifier.STATISTICS] == pytest.approx(statistics_by_hand(r["text"]))
