@@ -66,7 +66,8 @@ def landing_json_documents(spark, sf):
     root, rows = scratch(spark), view(spark, sf, "raw_support")
     record = F.struct(*[c for c in rows.columns if c != "_pos"])
     documents = rows.groupBy(F.floor(F.col("_pos") / 500).alias("_doc")).agg(F.to_json(F.struct(F.collect_list(record).alias("records"))).alias("value"))
-    documents.write.partitionBy("_doc").text(root)
+    # one document a file, all in one folder: a folder per document makes the read discover thousands of partitions
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(root)
     landed = landing.read_json_group(spark, [root], "{")
     return landed.groupBy("priority").agg(
         F.count(F.lit(1)).alias("tickets"), F.countDistinct("ticket_id").alias("ids"), F.min("ticket_id").alias("first_ticket"),

@@ -270,3 +270,23 @@ def test_each_json_file_has_its_own_keys(spark, tmp_path, kind):
     assert got["c"].violations[0].observed_value == '["extra"]' and [got[x].status for x in "abc"] == ["PASS", "FAIL", "WARNING"]
     fields = {(r["_source_file"][0], r.column_name) for r in drift.infer_schema(rows, ["_source_file"], keys=group.keys).collect()}
     assert ("b", "topic") in fields and ("a", "topic") not in fields and ("c", "extra") in fields and ("b", "priority") not in fields
+
+
+def test_json_documents_land_flat_one_document_a_file(spark, tmp_path, monkeypatch):
+    """Each stretch of 500 events lands as one file in one folder, with no folder per document to discover."""
+    from plumbline.catalog import files
+
+    rows = spark.createDataFrame(
+        [(i, f"2024-01-01 00:00:{i % 60:02d}", i % 40, "error", 1.0, f"p{i % 7}") for i in range(1203)],
+        "event_id long, ts string, user_id long, event_type string, value double, props string",
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    seen = []
+    read = landing.read_json_group
+    monkeypatch.setattr(landing, "read_json_group", lambda s, paths, shape: seen.extend(paths) or read(s, paths, shape))
+    result = {r.priority: r.tickets for r in files.landing_json_documents(spark, str(tmp_path / "sf")).collect()}
+    assert sum(result.values()) == 1203
+    root = seen[0].removeprefix("file:")
+    names = [n for n in os.listdir(root) if not n.startswith((".", "_"))]
+    assert all(not os.path.isdir(os.path.join(root, n)) for n in names)
+    assert len(names) == 3
