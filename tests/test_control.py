@@ -144,3 +144,30 @@ def test_controls_follow_the_tables_that_prove_them(spark):
     assert got["m"]["catalog"] and got["m"]["reconciliation"] and got["m"]["release_gate"] is False and got["m"]["source_contract"] is None
     assert governance.control_coverage(governance.derived_controls(entities, evidence)).first().covered_count == 4
     assert governance.control_coverage(governance.derived_controls(entities, {})).first().covered_count == 0
+
+
+def test_exceptions_per_gate_pages_once_per_gate_name(spark, monkeypatch):
+    """Pages of covering exceptions as the pairs of gate and alert give them, but numbered without those pairs."""
+    from plumbline.catalog import control
+    from plumbline.operators import evidence
+
+    runs = [f"r{i}" for i in range(30)] + [None]
+    names = ["slo_gate", "runtime_gate", None]
+    gate_rows = [(r, n, s) for r in runs for n in names for s in ("failed", "passed", None)] + [("r0", "slo_gate", "failed")]
+    alerts = [f"A{i:03d}" for i in range(120)] + ["A007", None]
+    monkeypatch.setattr(control, "gate_table", lambda spark, sf: spark.createDataFrame(gate_rows, "run_id string, gate_name string, status string"))
+    monkeypatch.setattr(control, "view", lambda spark, sf, name: spark.createDataFrame([(a,) for a in alerts], "alert_id string"))
+    numbered = []
+    plain_pages = evidence.pages
+    monkeypatch.setattr(evidence, "pages", lambda df, *args: numbered.append(df.count()) or plain_pages(df, *args))
+
+    got = {(r.run_id, r.gate_name, r.page): (r.value_count, r.first_value, r.last_value)
+           for r in control.exceptions_per_gate(spark, "").collect()}
+    expected = {}
+    for run, name in {(r, n) for r, n, s in gate_rows if s is not None and s != "passed"}:
+        covered = sorted({a for a in alerts if a is not None and (not a.endswith("7") or name == "slo_gate")})
+        for start in range(0, len(covered), 50):
+            page = covered[start:start + 50]
+            expected[(run, name, start // 50 + 1)] = (len(page), page[0], page[-1])
+    assert got == expected
+    assert max(numbered) <= len(names) * len(alerts)
