@@ -136,8 +136,9 @@ class VersionedTable:
         entry, commit_id = self._entry(), commit_id or uuid.uuid4().hex
         base = entry.version if entry else 0
         folder = f"{self.path}/data/{COMMIT}={commit_id}"
-        if self.by:  # one shuffle by partition, so that a partition is a few files and not one a task
-            rows = rows.repartition(*self.by)
+        if self.by:  # one shuffle by range of partition, so that a partition is a few files and not one a task,
+            # and a large partition is cut over several tasks: the hash of the whole row splits its rows
+            rows = rows.repartitionByRange(*self.by, F.xxhash64(F.to_json(F.struct(*rows.columns))))
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*self.by) if self.by else writer).parquet(folder)
         own = [f for f in rows.schema.fields if f.name not in self.by]

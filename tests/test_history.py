@@ -142,3 +142,17 @@ def test_a_replay_mends_one_batch_and_what_depends_on_it(spark, history):
     with pytest.raises(ValueError, match="no bronze batch"):
         history.replay("ecommerce_transactions", batch_id="nothing")
     assert datetime.date(2024, 3, 5) in {r.target_date for r in history.gold("gold_target_vs_actual").read().collect()}
+
+
+def test_a_large_partition_is_cut_over_several_tasks(spark, path):
+    """A partition's rows go to several writing tasks, not all to one; reading back gives them all."""
+    table = VersionedTable(spark, path, ("day",))
+    rows = [(n, "d1" if n % 10 else "d2") for n in range(4000)] + [(7, "d1")] * 50 + [(None, None)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.append(spark.createDataFrame(rows, "n int, day string"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((tuple(r) for r in table.read().select("n", "day").collect()), key=str) == sorted(rows, key=str)
+    files = table.read().where("day = 'd1'").select(F.input_file_name()).distinct().count()
+    assert files > 1
