@@ -7,6 +7,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,52 @@ def test_compiled_rules_score_as_by_hand(spark):
     stats = quality_classifier.with_statistics(docs).collect()
     for r in stats:
         assert [r[f"_stat_{k}"] for k in quality_classifier.STATISTICS] == pytest.approx(statistics_by_hand(r["text"]))
+
+
+def test_shingles_of_many_texts_are_those_of_each():
+    """Chunks of texts give each text the number of distinct runs of five words that a set of tuples has, and shared ones are shared."""
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("abcXYZé") for _ in range(rng.randint(1, 9))) for _ in range(30)] + ["w" * 100, "W" * 99 + "w", "w" * 101]
+    texts = [None, "", " \t\n", "one", "One TWO", "\x0bone\x0ctwo\r"] + [
+        rng.choice(" \n\t").join(rng.choice(pool) for _ in range(rng.choice([1, 4, 5, 6, 40, 3000]))) for _ in range(150)]
+    by_hand = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        by_hand.append({tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    shingles = jaccard_join.Shingler(5)
+    sets = list(shingles.many(texts))
+    assert [len(s) for s in sets] == [len(x) for x in by_hand]
+    assert all(set(shingles(t)) == set(s) for t, s in zip(texts, sets))
+    for i in range(len(texts)):
+        for j in range(0, i, 7):
+            assert len(set(sets[i].tolist()) & set(sets[j].tolist())) == len(by_hand[i] & by_hand[j])
+
+
+def test_long_texts_with_one_passage_in_common_are_no_candidates():
+    """Long unrelated texts that share a few listed shingles are no candidates; all linked sets are, whatever the order."""
+    rng = random.Random(9)
+    passage = " ".join(f"shared{i}" for i in range(24))
+    texts = []
+    for i in range(8):
+        own = [f"w{rng.randrange(10 ** 9)}" for _ in range([2400, 2400, 2400, 60, 60, 8, 6, 3000][i])]
+        half = len(own) // 2
+        for changes in range(3):
+            near = list(own)
+            for k in rng.sample(range(len(own)), changes * len(own) // 80):
+                near[k] = f"w{rng.randrange(10 ** 9)}"
+            texts.append(" ".join([*near[:half], passage, *near[half:]]))
+    shingles = jaccard_join.Shingler(5)
+    sets = [shingles(t) for t in texts]
+    n = [len(x) for x in sets]
+    batch = pd.DataFrame({"text": texts, "cls": [jaccard_join._name(x) for x in sets], "node": range(len(texts)), "need": [3 * k for k in n],
+                          "least": [int(5.25 * k) for k in n], "known": range(len(texts))})
+    none = np.zeros(0, np.uint64)
+    for weight in (np.zeros(jaccard_join.BUCKETS, np.int64), np.arange(jaccard_join.BUCKETS) % 97):
+        index = pd.concat(jaccard_join._index(5, 3, (none, none, weight))(iter([batch.iloc[:10].reset_index(drop=True), batch.iloc[10:].reset_index(drop=True)])))
+        found = pd.concat([jaccard_join._probe(part.reset_index(drop=True)) for _, part in index.groupby("shard")])
+        found = found.groupby(["a", "b"]).agg({"hits": "sum", "rest": "min", "need": "min", "wanted": "min"}).reset_index()
+        found = found[(found.hits >= found.wanted) & (7 * (found.hits + found.rest - found.wanted) >= found.need)]
+        pairs = set(zip(found.a, found.b))
+        shared = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(len(n)) for j in range(i + 1, len(n))}
+        assert {p for p, k in shared.items() if 7 * k >= 3 * (n[p[0]] + n[p[1]])} <= pairs
+        assert all(i // 3 == j // 3 for i, j in pairs if n[i] > 1000)
