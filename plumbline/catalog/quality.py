@@ -15,7 +15,7 @@ from plumbline.config import CATALOG, EXPECTATIONS, FRESHNESS_HOURS, MODEL_TESTS
 from plumbline.functions import casts
 from plumbline.operators import checks, contract, drift, evidence, pii, profile, reconcile
 from plumbline.plans import marts
-from plumbline.session import cut_lineage
+from plumbline.session import cut_lineage, saved
 
 CHECK = "dataset_name, row_count, check_name, status, severity, observed, failed_records"
 
@@ -307,7 +307,8 @@ def table_fingerprints(spark, sf):
         (select cast(sum(cast(gross_revenue as decimal(18,4))) as double) from gold_revenue),
         (select cast(sum(cast(gross_revenue as decimal(18,4))) as double) from gold_revenue))""")
 def reconciliation(spark, sf):
-    rows = orders(spark, sf)
+    # the marts and the totals read the same orders: built once, with the columns that they use
+    rows = saved(orders(spark, sf).select("order_ts", "product_id", "status", "quantity", "amount"), "reconciled-orders")
     # the daily mart feeds two totals and the target mart: written out once, it is small
     daily = cut_lineage(marts.gold_revenue_analytics(rows, silver(spark, sf, "targets_planning")))
     products = marts.gold_product_performance(silver(spark, sf, "product_catalog"), rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import cut_lineage
+from plumbline.session import saved
 
 REASON = "_reject_reason"
 
@@ -23,7 +23,8 @@ def reject_duplicates(
     position). ``bad`` is a condition with its reason; such rows are out of the race for their key.
 
     Only keys that repeat matter, so they are found first, by a key-only partial aggregate
-    that thins a hot key in the map tasks, and written out. If that list is measured to be
+    that thins a hot key in the map tasks. The first position of every key is written out, so
+    that the rows are built once for it. If the list of keys that repeat is measured to be
     small it is broadcast and the rows are not shuffled at all. Otherwise rows meet the first
     position of their key on key *and* position, which spreads a hot key over all tasks.
     Neither way puts the rows of one key into one task, as a window over the key would.
@@ -38,7 +39,8 @@ def reject_duplicates(
         running = F.when(~bad[0], place)
     per_key = df.groupBy(F.col(key).alias("__k")).agg(
         F.min(running).alias("__first"), F.count(running).alias("__n"))
-    repeated = cut_lineage(per_key.where("__k is not null and __n > 1").drop("__n"))
+    per_key = saved(per_key.where("__k is not null and __n > 0"), "first-of-key")
+    repeated = per_key.where("__n > 1").drop("__n")
     width = 64 + 32 * len(order)
     size = repeated.agg(
         F.coalesce(F.sum(F.octet_length(F.col("__k").cast("string")) + width), F.lit(0)).alias("bytes")
@@ -50,7 +52,7 @@ def reject_duplicates(
         spent = ["__k", "__first"]
     else:
         parts = [F.col("__first") if len(order) == 1 else F.col(f"__first.{c}") for c in order]
-        firsts = per_key.where("__k is not null and __n > 0").select("__k", *[part.alias(f"__f{i}") for i, part in enumerate(parts)])
+        firsts = per_key.select("__k", *[part.alias(f"__f{i}") for i, part in enumerate(parts)])
         condition = F.col(key) == F.col("__k")
         for i, column in enumerate(order):
             condition = condition & F.col(column).eqNullSafe(F.col(f"__f{i}"))

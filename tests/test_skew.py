@@ -124,3 +124,11 @@ def test_rows_are_not_shuffled_when_few_keys_repeat(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("t"))
     plan = reject_duplicates(df, "k", ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_keep_first_builds_the_rows_once_for_the_first_positions(spark):
+    """With a long list of repeated keys, the first positions are read back and not aggregated from the rows again."""
+    df = spark.range(2000).selectExpr("cast(id % 700 as string) as k", "id as t")
+    marked = reject_duplicates(df, "k", ["t"], broadcast_bytes=0)
+    assert "Aggregate" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert {r["t"] for r in marked.where("_reject_reason is null").collect()} == set(range(700))
