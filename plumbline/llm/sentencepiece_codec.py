@@ -17,9 +17,12 @@ Repeated rows give repeated results; empty tables empty ones; further columns ca
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -297,6 +300,20 @@ class Pieces:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+def opened(model: str) -> tuple[Pieces, dict[str, list[int]]]:
+    """The pieces of a model file and the ids of chunks met so far: one of each for all tasks that a process runs, not one a task.
+
+    They are held by a module of their own, as the functions of this one are made anew for each task.
+    """
+    held = sys.modules.setdefault("_plumbline_pieces", ModuleType("_plumbline_pieces")).__dict__
+    found = os.stat(model)
+    key = model, found.st_mtime_ns, found.st_size
+    if held.get("key") != key:
+        with open(model, "rb") as f:
+            held.update(value=(Pieces(f.read()), {}), key=key)
+    return held["value"]
+
+
 def encode(docs: DataFrame, model: str = MODEL, text: str = "text", keep: list[str] | None = None, memory: int = 300_000) -> DataFrame:
     """The kept columns, ids, n_ids and round_trip: whether decoding the ids gives the text back.
 
@@ -308,9 +325,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", keep: list[s
                                                T.StructField("round_trip", T.BooleanType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(model, "rb") as f:
-            pieces = Pieces(f.read())
-        known: dict[str, list[int]] = {}
+        pieces, known = opened(model)
         for batch in batches:
             for lo in range(0, len(batch), 1000):
                 part = batch.iloc[lo:lo + 1000]

@@ -213,3 +213,19 @@ def test_long_texts_with_one_passage_in_common_are_no_candidates():
         shared = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(len(n)) for j in range(i + 1, len(n))}
         assert {p for p, k in shared.items() if 7 * k >= 3 * (n[p[0]] + n[p[1]])} <= pairs
         assert all(i // 3 == j // 3 for i, j in pairs if n[i] > 1000)
+
+
+def test_tasks_of_one_process_share_the_vocabulary(spark, tmp_path):
+    """A model is prepared once a process however many tasks it runs, and again if the file is another one."""
+    model = tmp_path / "pieces.model"
+    with open(sentencepiece_codec.MODEL, "rb") as f:
+        data = f.read()
+    model.write_bytes(data)
+    first = sentencepiece_codec.opened(str(model))
+    assert sentencepiece_codec.opened(str(model)) is first
+    model.write_bytes(data + b"\x32\x00")  # a field that no reader knows
+    assert sentencepiece_codec.opened(str(model)) is not first
+    rows = [(i, f"word{i % 7} and others {i % 5}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one, many = (sorted((r["doc_id"], *r["ids"]) for r in sentencepiece_codec.encode(docs.repartition(n), memory=5).collect()) for n in (1, 8))
+    assert one == many and len(one) == 40
